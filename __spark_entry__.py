@@ -34,7 +34,7 @@ from pulsemart.sources import (
     sink_csv_report,
     sink_parquet,
 )
-from pulsemart.sources.driver_tables import BUILDERS, raw_table
+from pulsemart.sources.driver_tables import RawTables
 from pulsemart.sources.schemas import METRICS_SCHEMA, PREDICTIONS_SCHEMA, TABLES
 
 CFG = HealthConfig()
@@ -49,13 +49,12 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return {t: raw_table(self.spark, self.sf_dir, t) for t in BUILDERS}
+    def raw(self) -> RawTables:
+        return RawTables(self.spark, self.sf_dir)
 
-    @cached_property
-    def declared(self) -> dict[str, DataFrame]:
-        """Raw tables with the declared columns only, as an export would hold them."""
-        return {t: df.drop(cleaning.SEQUENCE) for t, df in self.raw.items()}
+    def declared(self, table: str) -> DataFrame:
+        """A raw table with the declared columns only, as an export would hold it."""
+        return self.raw[table].drop(cleaning.SEQUENCE)
 
     @cached_property
     def clean(self) -> marts.CleanTables:
@@ -160,14 +159,14 @@ def _csv_round_trip(x: Inputs) -> DataFrame:
     """Export the source tables as CSV, then load them into Parquet the way a user would."""
     folder, target = new_table_path(x.spark, "csv"), new_table_path(x.spark, "loaded")
     for table in TABLES:
-        x.declared[table].write.option("header", True).option("escape", '"').option(
+        x.declared(table).write.option("header", True).option("escape", '"').option(
             "ignoreLeadingWhiteSpace", False
         ).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{table}.csv")
     return _profiles(scan_csv_tables(x.spark, folder, target))
 
 
 def _sql_table(x: Inputs) -> DataFrame:
-    x.declared["events"].createOrReplaceTempView("raw_product_events")
+    x.declared("events").createOrReplaceTempView("raw_product_events")
     return scan_sql_table(x.spark, "raw_product_events")
 
 

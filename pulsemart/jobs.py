@@ -6,6 +6,8 @@ no plan spans more than one of them.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsemart.config import HealthConfig
@@ -26,7 +28,7 @@ def mart_path(out: str, mart: str) -> str:
     return f"{out.rstrip('/')}/{mart}"
 
 
-def clean_job(raw: dict[str, DataFrame], out: str, cfg: HealthConfig = HealthConfig()) -> None:
+def clean_job(raw: Mapping[str, DataFrame], out: str, cfg: HealthConfig = HealthConfig()) -> None:
     for table, cleaner in CLEANERS.items():
         if table == "events":
             sink_parquet(clean_events(raw[table], cfg), clean_path(out, table), by_month_of="event_time")
@@ -38,8 +40,12 @@ def clean_job(raw: dict[str, DataFrame], out: str, cfg: HealthConfig = HealthCon
 def clean_tables(spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig()) -> marts.CleanTables:
     """Clean tables for the marts, which never look further back than their oldest window."""
     oldest = max(cfg.longest_window, cfg.expansion_prior_days, 7 * cfg.weekly_weeks)
-    others = {t: scan_parquet(spark, clean_path(out, t)) for t in CLEANERS if t != "events"}
-    return marts.CleanTables(events=scan_events(spark, clean_path(out, "events"), cfg.day(oldest)), **others)
+
+    def load(table: str) -> DataFrame:
+        path = clean_path(out, table)
+        return scan_events(spark, path, cfg.day(oldest)) if table == "events" else scan_parquet(spark, path)
+
+    return marts.CleanTables(load)
 
 
 def mart_job(spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig()) -> None:

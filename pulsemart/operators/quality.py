@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -108,33 +109,31 @@ def _tenant_rules() -> list[Check]:
     ]
 
 
+def _text(value: str) -> str:
+    """An SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _count(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     """Run all checks in one aggregation; keep those that hit."""
     counts = df.agg(*[expression.alias(f"n{i}") for i, (_, _, _, expression) in enumerate(checks)])
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(table).alias("table"),
-                F.lit(column).alias("column"),
-                F.lit(issue).alias("issue"),
-                F.col(f"n{i}").cast("bigint").alias("affected_rows"),
-                F.lit(action).alias("action"),
-            )
-            for i, (column, issue, action, _) in enumerate(checks)
-        ]
-    )
-    return counts.select(F.inline(lines)).where(F.col("affected_rows") > 0)
+    lines = [
+        f"struct({_text(table)} AS table, {_text(column)} AS column, {_text(issue)} AS issue, "
+        f"cast(n{i} AS BIGINT) AS affected_rows, {_text(action)} AS action)"
+        for i, (column, issue, action, _) in enumerate(checks)
+    ]
+    return counts.selectExpr(f"inline(array({', '.join(lines)}))").where("affected_rows > 0")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def dq_null_summary(raw: dict[str, DataFrame]) -> DataFrame:
+def dq_null_summary(raw: Mapping[str, DataFrame]) -> DataFrame:
     return _union([_count(raw[t], t, null_checks(raw[t])) for t in TABLES if t in raw])
 
 
-def dq_rule_checks(raw: dict[str, DataFrame]) -> DataFrame:
+def dq_rule_checks(raw: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for table in TABLES:
         if table not in raw:
@@ -146,7 +145,7 @@ def dq_rule_checks(raw: dict[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def dq_report(raw: dict[str, DataFrame]) -> DataFrame:
+def dq_report(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Null and rule counts together: one scan per table, a second one for tenants."""
     parts = [_count(raw[t], t, null_checks(raw[t]) + rule_checks(t)) for t in TABLES if t in raw]
     if "tenants" in raw:

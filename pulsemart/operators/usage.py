@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.config import HealthConfig, Window
-from pulsemart.functions import days_between, instant_literal, ratio_or_zero, week_start
+from pulsemart.functions import ratio_or_zero, week_start
 
 # Days fit into 64-bit words; staying below 63 keeps every word positive.
 BITS_PER_WORD = 62
@@ -25,32 +25,37 @@ def user_metrics(users: DataFrame) -> DataFrame:
     )
 
 
-def _inside(window: Window, cfg: HealthConfig) -> Column:
-    time = F.col("event_time")
-    return (time >= instant_literal(cfg.day(window.start_days))) & (
-        time <= instant_literal(cfg.day(window.end_days))
-    )
+def _at(cfg: HealthConfig, days_back: int) -> str:
+    """Midnight ``days_back`` days before the snapshot, as an SQL literal."""
+    return f"TIMESTAMP_NTZ'{cfg.day(days_back)} 00:00:00'"
+
+
+def _inside(window: Window, cfg: HealthConfig) -> str:
+    return f"event_time BETWEEN {_at(cfg, window.start_days)} AND {_at(cfg, window.end_days)}"
+
+
+def _names(events: tuple[str, ...]) -> str:
+    return "event_name IN (" + ", ".join(f"'{e}'" for e in events) + ")"
 
 
-def _day_word(days_back: Column, word: int) -> Column:
+def _day_word(word: int) -> str:
     """One bit for the event's day if it falls into this word of the calendar mask."""
     first = word * BITS_PER_WORD
-    return F.when(
-        days_back.between(first, first + BITS_PER_WORD - 1),
-        F.call_function("shiftleft", F.lit(1).cast("bigint"), days_back - first),
+    return (
+        f"CASE WHEN days_back BETWEEN {first} AND {first + BITS_PER_WORD - 1}"
+        f" THEN shiftleft(1L, days_back - {first}) END"
     )
 
 
-def _days_in(mask: str, words: int, oldest: int, newest: int) -> Column:
+def _days_in(mask: str, words: int, oldest: int, newest: int) -> str:
     """Distinct days of a mask with ``newest <= days_back <= oldest``."""
-    total = F.lit(0)
+    counts = []
     for word in range(words):
         first = word * BITS_PER_WORD
         wanted = sum(1 << (d - first) for d in range(newest, oldest + 1) if 0 <= d - first < BITS_PER_WORD)
         if wanted:
-            bits = F.coalesce(F.col(f"{mask}_{word}"), F.lit(0).cast("bigint"))
-            total = total + F.bit_count(bits.bitwiseAND(F.lit(wanted).cast("bigint")))
-    return total.cast("bigint")
+            counts.append(f"bit_count(coalesce({mask}_{word}, 0L) & {wanted}L)")
+    return " + ".join(counts) or "0"
 
 
 def _tenant_usage(events: DataFrame, cfg: HealthConfig) -> DataFrame:
@@ -63,65 +68,54 @@ def _tenant_usage(events: DataFrame, cfg: HealthConfig) -> DataFrame:
     own mask.
     """
     words = cfg.longest_window // BITS_PER_WORD + 1
-    days_back = days_between(F.lit(cfg.snapshot), F.col("event_date"))
-    midnight = F.col("event_time") == F.col("event_date").cast("timestamp_ntz")
-    count, time = F.col("event_count"), F.col("event_time")
-    expansion = F.col("event_name").isin(*cfg.expansion_events)
-    recent = expansion & (time >= instant_literal(cfg.day(cfg.expansion_recent_days)))
-    prior = (
-        expansion
-        & (time >= instant_literal(cfg.day(cfg.expansion_prior_days)))
-        & (time < instant_literal(cfg.day(cfg.expansion_recent_days)))
-    )
+    expansion, split = _names(cfg.expansion_events), _at(cfg, cfg.expansion_recent_days)
+    since = _at(cfg, cfg.expansion_prior_days)
 
     per_user = [
-        F.max("event_time").alias("last_event_date"),
-        F.sum(F.when(recent, count)).alias("pp_recent"),
-        F.sum(F.when(prior, count)).alias("pp_prior"),
+        "max(event_time) AS last_event_date",
+        f"sum(event_count) FILTER (WHERE {expansion} AND event_time >= {split}) AS pp_recent",
+        f"sum(event_count) FILTER (WHERE {expansion} AND event_time >= {since} AND event_time < {split})"
+        " AS pp_prior",
     ]
     per_tenant = [
-        F.max("last_event_date").alias("last_event_date"),
-        F.sum("pp_recent").alias("pp_recent"),
-        F.sum("pp_prior").alias("pp_prior"),
+        "max(last_event_date) AS last_event_date",
+        "sum(pp_recent) AS pp_recent",
+        "sum(pp_prior) AS pp_prior",
     ]
     for word in range(words):
-        bit = _day_word(days_back, word)
-        per_user += [F.bit_or(bit).alias(f"days_{word}"), F.bit_or(F.when(midnight, bit)).alias(f"edge_{word}")]
-        per_tenant += [F.bit_or(f"{m}_{word}").alias(f"{m}_{word}") for m in ("days", "edge")]
+        bit = _day_word(word)
+        per_user += [
+            f"bit_or({bit}) AS days_{word}",
+            f"bit_or({bit}) FILTER (WHERE event_time = cast(event_date AS TIMESTAMP_NTZ)) AS edge_{word}",
+        ]
+        per_tenant += [f"bit_or({mask}_{word}) AS {mask}_{word}" for mask in ("days", "edge")]
     for w in cfg.windows:
         inside, s = _inside(w, cfg), w.suffix
         per_user += [
-            F.sum(F.when(inside, count)).alias(f"total_{s}"),
-            F.sum(F.when(inside & F.col("is_high_value"), count)).alias(f"hv_{s}"),
-            F.max(inside).alias(f"seen_{s}"),
+            f"sum(event_count) FILTER (WHERE {inside}) AS total_{s}",
+            f"sum(event_count) FILTER (WHERE {inside} AND is_high_value) AS hv_{s}",
+            f"max({inside}) AS seen_{s}",
         ]
         per_tenant += [
-            F.sum(f"total_{s}").alias(f"total_{s}"),
-            F.sum(f"hv_{s}").alias(f"hv_{s}"),
-            F.max(f"seen_{s}").alias(f"seen_{s}"),
-            F.count_if(F.col(f"seen_{s}") & F.col("user_id").isNotNull()).alias(f"users_{s}"),
+            f"coalesce(sum(total_{s}), 0) AS total_events_{s}",
+            f"coalesce(sum(hv_{s}), 0) AS hv_events_{s}",
+            f"count_if(seen_{s} AND user_id IS NOT NULL) AS active_users_{s}",
+            f"max(seen_{s}) AS seen_{s}",
         ]
     by_tenant = (
-        events.where(F.col("tenant_id").isNotNull())
+        events.where("tenant_id IS NOT NULL")
+        .withColumn("days_back", F.datediff(F.lit(cfg.snapshot), "event_date"))
         .groupBy("tenant_id", "user_id")
-        .agg(*per_user)
+        .agg(*[F.expr(e) for e in per_user])
         .groupBy("tenant_id")
-        .agg(*per_tenant)
+        .agg(*[F.expr(e) for e in per_tenant])
     )
-    columns = []
-    for w in cfg.windows:
-        s = w.suffix
-        active_days = _days_in("days", words, w.start_days, w.end_days + 1) + _days_in(
-            "edge", words, w.end_days, w.end_days
-        )
-        columns += [
-            F.coalesce(f"total_{s}", F.lit(0)).alias(f"total_events_{s}"),
-            F.coalesce(f"hv_{s}", F.lit(0)).alias(f"hv_events_{s}"),
-            active_days.alias(f"active_days_{s}"),
-            F.col(f"users_{s}").alias(f"active_users_{s}"),
-        ]
-    seen = [f"seen_{w.suffix}" for w in cfg.windows]
-    return by_tenant.select("tenant_id", *columns, *seen, "last_event_date", "pp_recent", "pp_prior")
+    active_days = [
+        f"cast({_days_in('days', words, w.start_days, w.end_days + 1)}"
+        f" + {_days_in('edge', words, w.end_days, w.end_days)} AS BIGINT) AS active_days_{w.suffix}"
+        for w in cfg.windows
+    ]
+    return by_tenant.selectExpr("*", *active_days)
 
 
 def window_columns(cfg: HealthConfig) -> list[str]:
@@ -134,11 +128,10 @@ def window_columns(cfg: HealthConfig) -> list[str]:
 
 def event_windows(events: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataFrame:
     """Five windows x four measures for every tenant with an event in any of them."""
-    inside_any = None
-    for w in cfg.windows:
-        inside_any = _inside(w, cfg) if inside_any is None else inside_any | _inside(w, cfg)
-    oldest = F.col("event_time") >= instant_literal(cfg.day(cfg.longest_window))
-    return _tenant_usage(events.where(oldest & inside_any), cfg).select("tenant_id", *window_columns(cfg))
+    newest = min(w.end_days for w in cfg.windows)
+    span = f"event_time BETWEEN {_at(cfg, cfg.longest_window)} AND {_at(cfg, newest)}"
+    seen = " OR ".join(f"seen_{w.suffix}" for w in cfg.windows)
+    return _tenant_usage(events.where(span), cfg).where(seen).select("tenant_id", *window_columns(cfg))
 
 
 def last_event(events: DataFrame) -> DataFrame:
@@ -158,15 +151,13 @@ def tenant_usage(events: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataF
     ``last_event_date``.
     """
     oldest = max(cfg.longest_window, cfg.expansion_prior_days)
-    recent = events.where(F.col("event_time") >= instant_literal(cfg.day(oldest)))
-    base = F.col(f"seen_{cfg.windows[0].suffix}")
-    usage = _tenant_usage(recent, cfg)
-    return usage.select(
+    usage = _tenant_usage(events.where(f"event_time >= {_at(cfg, oldest)}"), cfg)
+    base = f"seen_{cfg.windows[0].suffix}"
+    return usage.selectExpr(
         "tenant_id",
-        base.alias("in_base"),
-        *[F.when(base, F.col(c)).alias(c) for c in window_columns(cfg)],
-        F.when(base, F.col("last_event_date")).alias("last_event_date"),
-        (F.coalesce("pp_recent", F.lit(0)) > F.coalesce("pp_prior", F.lit(0))).alias("pp_growing"),
+        f"{base} AS in_base",
+        *[f"CASE WHEN {base} THEN {c} END AS {c}" for c in [*window_columns(cfg), "last_event_date"]],
+        "coalesce(pp_recent, 0) > coalesce(pp_prior, 0) AS pp_growing",
     )
 
 
@@ -183,18 +174,17 @@ def event_metrics(events: DataFrame, cfg: HealthConfig = HealthConfig()) -> Data
 
 def pp_trend(events: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataFrame:
     """Expansion-event sums of the last 30 days against the 30 before, one scan."""
-    time, count = F.col("event_time"), F.col("event_count")
-    split = instant_literal(cfg.day(cfg.expansion_recent_days))
+    split, since = _at(cfg, cfg.expansion_recent_days), _at(cfg, cfg.expansion_prior_days)
     return (
         events.where(
-            F.col("tenant_id").isNotNull()
-            & F.col("event_name").isin(*cfg.expansion_events)
-            & (time >= instant_literal(cfg.day(cfg.expansion_prior_days)))
+            f"tenant_id IS NOT NULL AND {_names(cfg.expansion_events)} AND event_time >= {since}"
         )
         .groupBy("tenant_id")
         .agg(
-            F.coalesce(F.sum(F.when(time >= split, count)), F.lit(0)).alias("pp_events_30d"),
-            F.coalesce(F.sum(F.when(time < split, count)), F.lit(0)).alias("pp_events_prior_30d"),
+            F.expr(f"coalesce(sum(event_count) FILTER (WHERE event_time >= {split}), 0)").alias("pp_events_30d"),
+            F.expr(f"coalesce(sum(event_count) FILTER (WHERE event_time < {split}), 0)").alias(
+                "pp_events_prior_30d"
+            ),
         )
         .withColumn("pp_growing", F.col("pp_events_30d") > F.col("pp_events_prior_30d"))
     )
@@ -202,24 +192,20 @@ def pp_trend(events: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataFrame
 
 def weekly_activity(events: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataFrame:
     """Tenant x Monday week. Two levels like `_tenant_usage`; a week's days are seven bits."""
-    count = F.col("event_count")
-    day_bit = F.call_function("shiftleft", F.lit(1), F.weekday("event_date"))
+    start = _at(cfg, 7 * cfg.weekly_weeks)
     return (
-        events.where(
-            F.col("tenant_id").isNotNull()
-            & (F.col("event_time") >= instant_literal(cfg.day(7 * cfg.weekly_weeks)))
-        )
+        events.where(f"tenant_id IS NOT NULL AND event_time >= {start}")
         .groupBy("tenant_id", week_start(F.col("event_date")).alias("week_start"), "user_id")
         .agg(
-            F.sum(count).alias("n"),
-            F.sum(F.when(F.col("is_high_value"), count)).alias("hv"),
-            F.bit_or(day_bit).alias("days"),
+            F.sum("event_count").alias("n"),
+            F.expr("sum(event_count) FILTER (WHERE is_high_value)").alias("hv"),
+            F.expr("bit_or(shiftleft(1, weekday(event_date)))").alias("days"),
         )
         .groupBy("tenant_id", "week_start")
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("event_count"),
-            F.coalesce(F.sum("hv"), F.lit(0)).alias("hv_event_count"),
+            F.expr("coalesce(sum(n), 0)").alias("event_count"),
+            F.expr("coalesce(sum(hv), 0)").alias("hv_event_count"),
             F.count("user_id").alias("active_users"),
-            F.bit_count(F.bit_or("days")).cast("bigint").alias("active_days"),
+            F.expr("cast(bit_count(bit_or(days)) AS BIGINT)").alias("active_days"),
         )
     )

@@ -7,7 +7,7 @@ tenant; whether a side is broadcast is left to Spark, which checks its size.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,8 +55,9 @@ FUNNEL_STAGES = (
 HEALTHY_TIERS = ("Healthy", "Neutral")
 
 
-@dataclass(frozen=True)
 class CleanTables:
+    """Clean tables as attributes; each is planned when it is first used."""
+
     tenants: DataFrame
     subscriptions: DataFrame
     users: DataFrame
@@ -64,10 +65,22 @@ class CleanTables:
     crm_companies: DataFrame
     crm_activities: DataFrame
 
+    def __init__(self, load: Callable[[str], DataFrame]):
+        self._load = load
+
+    def __getattr__(self, table: str) -> DataFrame:
+        if table not in CLEANERS:
+            raise AttributeError(table)
+        df = self._load(table)
+        setattr(self, table, df)
+        return df
+
     @classmethod
-    def from_raw(cls, raw: dict[str, DataFrame], cfg: HealthConfig = HealthConfig()) -> "CleanTables":
-        cleaned = {t: CLEANERS[t](raw[t]) for t in CLEANERS if t != "events"}
-        return cls(events=clean_events(raw["events"], cfg), **cleaned)
+    def from_raw(cls, raw: Mapping[str, DataFrame], cfg: HealthConfig = HealthConfig()) -> "CleanTables":
+        def load(table: str) -> DataFrame:
+            return clean_events(raw[table], cfg) if table == "events" else CLEANERS[table](raw[table])
+
+        return cls(load)
 
 
 def _base(t: CleanTables, cfg: HealthConfig) -> DataFrame:

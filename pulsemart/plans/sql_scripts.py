@@ -6,6 +6,8 @@ snapshot is a named parameter.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsemart.config import HealthConfig
@@ -127,12 +129,12 @@ ORDER BY churned DESC, arr DESC, tenant_id
 """
 
 
-def _run(spark: SparkSession, text: str, raw: dict[str, DataFrame], tables: list[str], args: dict) -> DataFrame:
+def _run(spark: SparkSession, text: str, raw: Mapping[str, DataFrame], tables: list[str], args: dict) -> DataFrame:
     return spark.sql(text, args=args, **{t: raw[t] for t in tables})
 
 
 def sql_tenant_health_summary(
-    spark: SparkSession, raw: dict[str, DataFrame], cfg: HealthConfig = HealthConfig()
+    spark: SparkSession, raw: Mapping[str, DataFrame], cfg: HealthConfig = HealthConfig()
 ) -> DataFrame:
     tables = ["tenants", "subscriptions", "users", "events", "crm_companies", "crm_activities"]
     args = {
@@ -143,18 +145,18 @@ def sql_tenant_health_summary(
     return _run(spark, TENANT_HEALTH, raw, tables, args)
 
 
-def sql_channel_performance(spark: SparkSession, raw: dict[str, DataFrame]) -> DataFrame:
+def sql_channel_performance(spark: SparkSession, raw: Mapping[str, DataFrame]) -> DataFrame:
     return _run(spark, CHANNELS, raw, ["tenants", "subscriptions", "crm_companies"], {})
 
 
 def sql_weekly_usage_trends(
-    spark: SparkSession, raw: dict[str, DataFrame], cfg: HealthConfig = HealthConfig()
+    spark: SparkSession, raw: Mapping[str, DataFrame], cfg: HealthConfig = HealthConfig()
 ) -> DataFrame:
     return _run(spark, WEEKS, raw, ["events"], {"snapshot": cfg.snapshot})
 
 
 def sql_at_risk_tenants(
-    spark: SparkSession, raw: dict[str, DataFrame], cfg: HealthConfig = HealthConfig()
+    spark: SparkSession, raw: Mapping[str, DataFrame], cfg: HealthConfig = HealthConfig()
 ) -> DataFrame:
     tables = ["tenants", "subscriptions", "events", "crm_activities"]
     return _run(spark, AT_RISK, raw, tables, {"snapshot": cfg.snapshot, "never": cfg.never_touched_days})

@@ -4,213 +4,185 @@ Every row of customer, orders and events ends up in a source table: five
 neighbouring customers form a tenant. The data also has to contain tenants
 without users, events, CRM records or a subscription; those gaps come from
 moving a tenant's rows to its neighbour, not from dropping rows.
+
+All numbers and words below are fixed values of the mapping.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the mapping.
-CUSTOMERS_PER_TENANT = 5
-SNAPSHOT_TEXT = "2024-06-30"
-PLANS_RAW = (" Starter", "business", "ENTERPRISE")
-PLANS_SUBSCRIBED = ("starter", "business", "enterprise")
-SIZES_RAW = ("1-50", "51-200", "201-1000", "1000+", "unknown")
-STAGES_RAW = ("Onboarding ", "active", "At-Risk", "churned")
-SOURCES_RAW = ("Inbound", "outbound ", "partner", "trial", "referral")
-ROLES_RAW = {
-    "BUILDING": "Admin ",
-    "MACHINERY": " member",
-    "FURNITURE": "read-only",
-    "HOUSEHOLD": "member",
-}
-ACTIVITY_BY_PRIORITY = {
-    "1": "Support_Ticket",
-    "2": "call_completed",
-    "3": "email_sent ",
-    "4": "meeting_held",
-    "5": "qbr_completed",
-}
-OUTCOME_BY_PRIORITY = {"1": " Positive", "2": "neutral", "3": "negative", "4": "No_Response", "5": "neutral"}
-EVENT_NAMES = {
-    "purchase": "policy_created",
-    "signup": "policy_updated",
-    "click": "pp_sync_completed",
-    "view": "report_generated",
+# Declared, so that opening a table costs no schema-inference job.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
+    ),
+    "supplier": "s_suppkey BIGINT, s_name STRING",
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+    ),
 }
+TODAY = "DATE'2024-06-30'"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def _tenant_number(key: str) -> Column:
-    return F.expr(f"{key} div {CUSTOMERS_PER_TENANT}")
+def _tenant(customer_key: str) -> str:
+    return f"{customer_key} div 5"
 
 
-def _moved(tn: Column, every: int, rest: int) -> Column:
+def _moved(tn: str, every: int, rest: int) -> str:
     """Leave tenants with ``tn % every = rest`` empty by giving their rows to a neighbour."""
-    step = 1 if rest == 0 else -1
-    return F.when(tn % every == rest, tn + step).otherwise(tn)
-
-
-def _tenant_id(tn: Column) -> Column:
-    return F.concat(F.lit("ten_"), tn.cast("string"))
-
-
-def _pick(index: Column, values) -> Column:
-    """NULL past the end of ``values``."""
-    return F.try_element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
-
-def _lookup(key: Column, pairs: dict, otherwise=None) -> Column:
-    out = None
-    for k, v in pairs.items():
-        out = F.when(key == k, v) if out is None else out.when(key == k, v)
-    return out if otherwise is None else out.otherwise(otherwise)
-
-
-def _days_before(days: Column) -> Column:
-    return F.date_sub(F.lit(SNAPSHOT_TEXT).cast("date"), days.cast("int"))
+    step = "+ 1" if rest == 0 else "- 1"
+    return f"if(({tn}) % {every} = {rest}, ({tn}) {step}, {tn})"
 
 
-def _text(day: Column) -> Column:
-    return day.cast("string")
-
-
-def _accounts(spark: SparkSession, sf_dir: str, tn: Column) -> DataFrame:
+def _accounts(spark: SparkSession, sf_dir: str, tn: str) -> DataFrame:
     """One row per tenant number, described by its customer with the smallest key."""
-    customers = _read(spark, sf_dir, "customer").select(
-        tn.alias("tn"), "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
-    )
-    first = F.min(F.struct("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
-    nation = _read(spark, sf_dir, "nation")
-    region = _read(spark, sf_dir, "region")
+    first = F.expr("min(struct(c_custkey, c_name, c_nationkey AS n_nationkey, c_mktsegment))")
     return (
-        customers.groupBy("tn")
+        _read(spark, sf_dir, "customer")
+        .groupBy(F.expr(tn).alias("tn"))
         .agg(first.alias("c"))
         .select("tn", "c.*")
-        .join(nation, F.col("c_nationkey") == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .select("tn", "c_name", "c_mktsegment", "r_name")
+        .join(_read(spark, sf_dir, "nation"), "n_nationkey")
+        .withColumnRenamed("n_regionkey", "r_regionkey")
+        .join(_read(spark, sf_dir, "region"), "r_regionkey")
     )
 
 
 def tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tn = F.col("tn")
-    supplier = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    copies = F.when(tn % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    """Every fiftieth tenant is listed a second time; the first listing is the valid one."""
+    # Ten account managers whatever the scale: without the bound on the key, a large
+    # supplier table would be shuffled on ten join values.
+    managers = F.broadcast(_read(spark, sf_dir, "supplier").where("s_suppkey < 10"))
     return (
-        _accounts(spark, sf_dir, _tenant_number("c_custkey"))
-        .join(supplier, (tn % 10) == supplier.s_suppkey)
-        .withColumn("ingest_seq", F.explode(copies))
-        .select(
-            _tenant_id(tn).alias("tenant_id"),
-            F.when(F.col("ingest_seq") == 1, F.concat("c_name", F.lit(" (copy)")))
-            .otherwise(F.col("c_name"))
-            .alias("company_name"),
-            _pick(tn % 3, PLANS_RAW).alias("plan"),
-            F.col("r_name").alias("region"),
-            F.when(tn % 37 != 36, F.col("c_mktsegment")).alias("industry"),
-            _pick(tn % 5, SIZES_RAW).alias("employee_size"),
-            F.col("s_name").alias("csm_assigned"),
+        _accounts(spark, sf_dir, _tenant("c_custkey"))
+        .withColumn("s_suppkey", F.expr("tn % 10"))
+        .join(managers, "s_suppkey")
+        .selectExpr("*", "explode(if(tn % 50 = 0, array(0, 1), array(0))) AS ingest_seq")
+        .selectExpr(
+            "concat('ten_', tn) AS tenant_id",
+            "if(ingest_seq = 1, concat(c_name, ' (copy)'), c_name) AS company_name",
+            "try_element_at(array(' Starter', 'business', 'ENTERPRISE'), cast(tn % 3 + 1 AS INT)) AS plan",
+            "r_name AS region",
+            "if(tn % 37 != 36, c_mktsegment, NULL) AS industry",
+            "try_element_at(array('1-50', '51-200', '201-1000', '1000+', 'unknown'), cast(tn % 5 + 1 AS INT))"
+            " AS employee_size",
+            "s_name AS csm_assigned",
             "ingest_seq",
         )
     )
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tn = _moved(_tenant_number("o_custkey"), 29, 28)
-    last = F.max(
-        F.struct("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
-    )
-    key = F.col("o_orderkey")
-    left = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") != "1-URGENT")
-    ended = _text(_days_before(key % 120))
+    """A tenant's order with the largest key."""
+    last = F.expr("max(struct(o_orderkey, o_orderstatus, o_orderpriority, o_totalprice, o_orderdate))")
     return (
         _read(spark, sf_dir, "orders")
-        .withColumn("tn", tn)
-        .groupBy("tn")
+        .groupBy(F.expr(_moved(_tenant("o_custkey"), 29, 28)).alias("tn"))
         .agg(last.alias("o"))
-        .select("tn", "o.*")
-        .select(
-            F.concat(F.lit("sub_"), key.cast("string")).alias("subscription_id"),
-            _tenant_id(F.col("tn")).alias("tenant_id"),
-            _pick(F.col("tn") % 3, PLANS_SUBSCRIBED).alias("plan"),
-            F.when(key % 61 == 0, F.lit(0.0)).otherwise(F.col("o_totalprice")).alias("arr"),
-            _text(F.date_add(F.col("o_orderdate").cast("date"), 8217)).alias("contract_start_date"),
-            _text(_days_before(F.lit(40) - key % 400)).alias("renewal_date"),
-            left.cast("int").alias("churned"),
-            F.when(left & (key % 10 != 0), ended).when(~left & (key % 50 == 0), ended).alias("churn_date"),
+        .selectExpr(
+            "tn",
+            "o.*",
+            "o.o_orderstatus = 'F' AND o.o_orderpriority != '1-URGENT' AS gone",
+            f"cast(date_sub({TODAY}, cast(o.o_orderkey % 120 AS INT)) AS STRING) AS ended",
+        )
+        .selectExpr(
+            "concat('sub_', o_orderkey) AS subscription_id",
+            "concat('ten_', tn) AS tenant_id",
+            "try_element_at(array('starter', 'business', 'enterprise'), cast(tn % 3 + 1 AS INT)) AS plan",
+            "if(o_orderkey % 61 = 0, 0D, o_totalprice) AS arr",
+            "cast(date_add(cast(o_orderdate AS DATE), 8217) AS STRING) AS contract_start_date",
+            f"cast(date_add({TODAY}, cast(o_orderkey % 400 - 40 AS INT)) AS STRING) AS renewal_date",
+            "cast(gone AS INT) AS churned",
+            "CASE WHEN gone AND o_orderkey % 10 != 0 THEN ended"
+            " WHEN NOT gone AND o_orderkey % 50 = 0 THEN ended END AS churn_date",
         )
     )
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return _read(spark, sf_dir, "customer").select(
-        F.concat(F.lit("usr_"), key.cast("string")).alias("user_id"),
-        _tenant_id(_moved(_tenant_number("c_custkey"), 25, 0)).alias("tenant_id"),
-        _lookup(F.col("c_mktsegment"), ROLES_RAW, "owner").alias("role"),
-        _text(F.date_add(F.lit("2023-01-01").cast("date"), (key % 365).cast("int"))).alias("registered_at"),
-        _text(_days_before((key * 7) % 600)).alias("last_seen_at"),
-        (F.col("c_acctbal") > 3000).cast("int").alias("is_active"),
+    return _read(spark, sf_dir, "customer").selectExpr(
+        "concat('usr_', c_custkey) AS user_id",
+        f"concat('ten_', {_moved(_tenant('c_custkey'), 25, 0)}) AS tenant_id",
+        "CASE c_mktsegment WHEN 'BUILDING' THEN 'Admin ' WHEN 'MACHINERY' THEN ' member'"
+        " WHEN 'FURNITURE' THEN 'read-only' WHEN 'HOUSEHOLD' THEN 'member' ELSE 'owner' END AS role",
+        "cast(date_add(DATE'2023-01-01', cast(c_custkey % 365 AS INT)) AS STRING) AS registered_at",
+        f"cast(date_sub({TODAY}, cast((c_custkey * 7) % 600 AS INT)) AS STRING) AS last_seen_at",
+        "cast(c_acctbal > 3000 AS INT) AS is_active",
     )
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("event_id")
-    start = F.lit("2024-01-01").cast("timestamp_ntz")
-    stretched = start + (F.col("ts") - start) * 6
-    written = F.translate(F.substring(stretched.cast("string"), 1, 19), " ", "T")
-    risky = F.when(key % 2 == 0, "risky_workspace_resolved").otherwise("risky_workspace_detected")
-    name = F.coalesce(
-        _lookup(F.col("event_type"), EVENT_NAMES), F.when(F.col("event_type") == "error", risky)
-    )
+    """The stream's 30 days are stretched to 180, the half year before the snapshot."""
+    start = "TIMESTAMP_NTZ'2024-01-01 00:00:00'"
     return (
         _read(spark, sf_dir, "events")
-        .withColumn("u", F.col("user_id") * 10 + key % 10)
-        .select(
-            F.concat(F.lit("evt_"), key.cast("string")).alias("event_id"),
-            _tenant_id(_moved(_tenant_number("u"), 20, 0)).alias("tenant_id"),
-            F.concat(F.lit("usr_"), F.col("u").cast("string")).alias("user_id"),
-            name.alias("event_name"),
-            F.when(key % 997 == 0, "not-a-time").otherwise(written).alias("event_time"),
-            (F.floor("value") % 5).cast("bigint").alias("event_count"),
-            F.when(key % 12 != 0, F.col("props")).alias("properties"),
+        .withColumn("u", F.expr("user_id * 10 + event_id % 10"))
+        .selectExpr(
+            "concat('evt_', event_id) AS event_id",
+            f"concat('ten_', {_moved(_tenant('u'), 20, 0)}) AS tenant_id",
+            "concat('usr_', u) AS user_id",
+            "CASE event_type WHEN 'purchase' THEN 'policy_created' WHEN 'signup' THEN 'policy_updated'"
+            " WHEN 'click' THEN 'pp_sync_completed' WHEN 'view' THEN 'report_generated' WHEN 'error'"
+            " THEN if(event_id % 2 = 0, 'risky_workspace_resolved', 'risky_workspace_detected')"
+            " END AS event_name",
+            "if(event_id % 997 = 0, 'not-a-time',"
+            f" translate(substring(cast({start} + (ts - {start}) * 6 AS STRING), 1, 19), ' ', 'T'))"
+            " AS event_time",
+            "floor(value) % 5 AS event_count",
+            "if(event_id % 12 != 0, props, NULL) AS properties",
         )
     )
 
 
 def crm_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tn = F.col("tn")
-    return _accounts(spark, sf_dir, _moved(_tenant_number("c_custkey"), 31, 30)).select(
-        F.concat(F.lit("crm_"), tn.cast("string")).alias("company_id"),
-        _tenant_id(tn).alias("tenant_id"),
-        _pick(tn % 4, STAGES_RAW).alias("lifecycle_stage"),
-        _pick(F.expr("tn div 3") % 6, SOURCES_RAW).alias("acquisition_source"),
-        (tn % 10 < 7).cast("int").alias("pov_started"),
-        _text(F.date_add(F.lit("2023-01-01").cast("date"), (tn % 365).cast("int"))).alias("created_at"),
-        F.col("r_name").alias("region"),
-        F.col("c_mktsegment").alias("industry"),
+    return _accounts(spark, sf_dir, _moved(_tenant("c_custkey"), 31, 30)).selectExpr(
+        "concat('crm_', tn) AS company_id",
+        "concat('ten_', tn) AS tenant_id",
+        "try_element_at(array('Onboarding ', 'active', 'At-Risk', 'churned'), cast(tn % 4 + 1 AS INT))"
+        " AS lifecycle_stage",
+        "try_element_at(array('Inbound', 'outbound ', 'partner', 'trial', 'referral'),"
+        " cast((tn div 3) % 6 + 1 AS INT)) AS acquisition_source",
+        "cast(tn % 10 < 7 AS INT) AS pov_started",
+        "cast(date_add(DATE'2023-01-01', cast(tn % 365 AS INT)) AS STRING) AS created_at",
+        "r_name AS region",
+        "c_mktsegment AS industry",
     )
 
 
 def crm_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("o_orderkey")
-    spread = F.expr("o_orderkey div 10") % 365
-    priority = F.substring("o_orderpriority", 1, 1)
     return (
         _read(spark, sf_dir, "orders")
-        .withColumn("tn", _moved(_tenant_number("o_custkey"), 7, 0))
-        .select(
-            F.concat(F.lit("act_"), key.cast("string")).alias("activity_id"),
-            _tenant_id(F.col("tn")).alias("tenant_id"),
-            _lookup(priority, ACTIVITY_BY_PRIORITY).alias("activity_type"),
-            _text(_days_before((F.col("tn") % 6) * 20 + spread)).alias("activity_date"),
-            _lookup(priority, OUTCOME_BY_PRIORITY).alias("outcome"),
-            (key % 400 - 40 + spread).cast("int").alias("days_to_renewal"),
+        .withColumns(
+            {
+                "tn": F.expr(_moved(_tenant("o_custkey"), 7, 0)),
+                "spread": F.expr("(o_orderkey div 10) % 365"),
+                "priority": F.expr("substring(o_orderpriority, 1, 1)"),
+            }
+        )
+        .selectExpr(
+            "concat('act_', o_orderkey) AS activity_id",
+            "concat('ten_', tn) AS tenant_id",
+            "CASE priority WHEN '1' THEN 'Support_Ticket' WHEN '2' THEN 'call_completed'"
+            " WHEN '3' THEN 'email_sent ' WHEN '4' THEN 'meeting_held' WHEN '5' THEN 'qbr_completed' END"
+            " AS activity_type",
+            f"cast(date_sub({TODAY}, cast((tn % 6) * 20 + spread AS INT)) AS STRING) AS activity_date",
+            "CASE priority WHEN '1' THEN ' Positive' WHEN '2' THEN 'neutral' WHEN '3' THEN 'negative'"
+            " WHEN '4' THEN 'No_Response' WHEN '5' THEN 'neutral' END AS outcome",
+            "cast(o_orderkey % 400 - 40 + spread AS INT) AS days_to_renewal",
         )
     )
 
@@ -225,5 +197,23 @@ BUILDERS = {
 }
 
 
-def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return BUILDERS[table](spark, sf_dir)
+class RawTables(Mapping):
+    """Source tables by name; each is opened when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._opened:
+            self._opened[table] = BUILDERS[table](self._spark, self._sf_dir)
+        return self._opened[table]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(BUILDERS)
+
+    def __len__(self) -> int:
+        return len(BUILDERS)
+
+    def __contains__(self, table: object) -> bool:
+        return table in BUILDERS

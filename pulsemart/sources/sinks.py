@@ -10,15 +10,16 @@ def sink_parquet(df: DataFrame, path: str, by_month_of: str | None = None) -> No
     """Replace the table at ``path``.
 
     ``by_month_of`` lays a time series out in month folders so that look-back
-    scans prune. Rows keep the partitioning they arrive with: no month is
-    gathered into one task, however large it is.
+    scans prune. Rows are rebalanced by month first, or every task would leave a
+    small file in every month; a rebalance splits large months over several
+    tasks and packs small ones together.
     """
-    writer = df
-    if by_month_of is not None:
-        writer = df.withColumn("event_month", F.date_format(F.col(by_month_of).cast("date"), "yyyy-MM"))
-        writer.write.mode("overwrite").partitionBy("event_month").parquet(path)
+    if by_month_of is None:
+        df.write.mode("overwrite").parquet(path)
         return
-    writer.write.mode("overwrite").parquet(path)
+    monthly = df.withColumn("event_month", F.date_format(F.col(by_month_of).cast("date"), "yyyy-MM"))
+    balanced = monthly.hint("rebalance", "event_month")
+    balanced.write.mode("overwrite").partitionBy("event_month").parquet(path)
 
 
 def sink_csv_report(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:
