@@ -19,6 +19,8 @@ def range_cuts(df: DataFrame, column: str, ranges: int = 64) -> list[float]:
 
     They only balance the work: any cut points give the same, exact result.
     """
+    if ranges < 2:
+        return []
     quantiles = df.stat.approxQuantile(column, [i / ranges for i in range(1, ranges)], 0.005)
     return sorted(set(quantiles))
 
