@@ -162,9 +162,14 @@ def tenant_usage(events: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataF
 
 
 def with_usage_ratios(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "usage_trend_ratio", ratio_or_zero(F.col("total_events_recent_4w"), F.col("total_events_prior_4w"))
-    ).withColumn("hv_share_30d", ratio_or_zero(F.col("hv_events_30d"), F.col("total_events_30d")))
+    return df.withColumns(
+        {
+            "usage_trend_ratio": ratio_or_zero(
+                F.col("total_events_recent_4w"), F.col("total_events_prior_4w")
+            ),
+            "hv_share_30d": ratio_or_zero(F.col("hv_events_30d"), F.col("total_events_30d")),
+        }
+    )
 
 
 def event_metrics(events: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataFrame:

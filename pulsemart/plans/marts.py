@@ -83,20 +83,7 @@ class CleanTables:
         return cls(load)
 
 
-def _base(t: CleanTables, cfg: HealthConfig) -> DataFrame:
-    """Tenants with everything known about them, still including the expansion trend."""
-    usage = window_columns(cfg)
-    joined = (
-        t.tenants.select(*TENANT_COLUMNS)
-        .join(t.subscriptions.select("tenant_id", *SUBSCRIPTION_COLUMNS), "tenant_id", "left")
-        .join(t.crm_companies.select("tenant_id", *COMPANY_COLUMNS), "tenant_id", "left")
-        .join(user_metrics(t.users), "tenant_id", "left")
-        .join(tenant_usage(t.events, cfg).drop("in_base"), "tenant_id", "left")
-        .join(crm_metrics(t.crm_activities, cfg), "tenant_id", "left")
-    )
-    zero = ["total_users", "active_users", "active_user_pct", "cs_touches_90d", *usage]
-    filled = joined.na.fill(0, zero).na.fill(cfg.never_touched_days, ["days_since_cs_touch"])
-    return with_usage_ratios(filled.na.fill(False, ["churned", "pp_growing"]))
+BASE_FILLS = {"total_users": "0", "active_users": "0", "active_user_pct": "0D", "cs_touches_90d": "0"}
 
 
 def _base_columns(cfg: HealthConfig) -> list[str]:
@@ -113,8 +100,33 @@ def _base_columns(cfg: HealthConfig) -> list[str]:
     ]
 
 
+def _base(t: CleanTables, cfg: HealthConfig) -> DataFrame:
+    """Tenants with everything known about them, and the expansion trend in ``pp_growing``."""
+    usage = with_usage_ratios(tenant_usage(t.events, cfg).drop("in_base"))
+    joined = (
+        t.tenants.select(*TENANT_COLUMNS)
+        .join(t.subscriptions.select("tenant_id", *SUBSCRIPTION_COLUMNS), "tenant_id", "left")
+        .join(t.crm_companies.select("tenant_id", *COMPANY_COLUMNS), "tenant_id", "left")
+        .join(user_metrics(t.users), "tenant_id", "left")
+        .join(usage, "tenant_id", "left")
+        .join(crm_metrics(t.crm_activities, cfg), "tenant_id", "left")
+    )
+    fills = {
+        **BASE_FILLS,
+        **{c: "0" for c in window_columns(cfg)},
+        "usage_trend_ratio": "0D",
+        "hv_share_30d": "0D",
+        "days_since_cs_touch": str(cfg.never_touched_days),
+        "churned": "false",
+        "pp_growing": "false",
+    }
+    return joined.selectExpr(
+        *[f"coalesce({c}, {fills[c]}) AS {c}" if c in fills else c for c in [*_base_columns(cfg), "pp_growing"]]
+    )
+
+
 def tenant_base(t: CleanTables, cfg: HealthConfig = HealthConfig()) -> DataFrame:
-    return _base(t, cfg).select(*_base_columns(cfg))
+    return _base(t, cfg).drop("pp_growing")
 
 
 def mart_tenant_health(t: CleanTables, cfg: HealthConfig = HealthConfig()) -> DataFrame:
@@ -122,23 +134,17 @@ def mart_tenant_health(t: CleanTables, cfg: HealthConfig = HealthConfig()) -> Da
     scored = health_score(health_components(_base(t, cfg), cfg), cfg)
     blind = (
         cs_blind_spots(t.subscriptions, t.crm_activities, cfg)
-        .select("tenant_id")
+        .select("tenant_id", F.lit(True).alias("blind"))
         .distinct()
-        .withColumn("cs_blind_spot", F.lit(True))
     )
-    return (
-        scored.withColumn("expansion_candidate", F.coalesce(expansion_candidate(cfg), F.lit(False)))
-        .join(blind, "tenant_id", "left")
-        .na.fill(False, ["cs_blind_spot"])
-        .select(
-            *_base_columns(cfg),
-            *COMPONENTS,
-            "health_score",
-            "health_tier",
-            "pp_growing",
-            "expansion_candidate",
-            "cs_blind_spot",
-        )
+    return scored.join(blind, "tenant_id", "left").select(
+        *_base_columns(cfg),
+        *COMPONENTS,
+        "health_score",
+        "health_tier",
+        "pp_growing",
+        F.coalesce(expansion_candidate(cfg), F.lit(False)).alias("expansion_candidate"),
+        F.coalesce("blind", F.lit(False)).alias("cs_blind_spot"),
     )
 
 
