@@ -128,15 +128,15 @@ class Fitted:
 
 
 def _stable(df: DataFrame) -> DataFrame:
-    """Doubles to six decimals: the order of a floating-point sum is not fixed."""
-    return df.select(
-        *[
-            F.round(F.col(f"`{f.name}`"), 6).alias(f.name)
-            if isinstance(f.dataType, DoubleType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema
-        ]
-    )
+    """Doubles to six decimals, money to four: the order of a floating-point sum is not fixed."""
+
+    def shown(field):
+        column = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, DoubleType):
+            return column
+        return F.round(column, 4 if "arr" in field.name.split("_") else 6).alias(field.name)
+
+    return df.select(*[shown(f) for f in df.schema])
 
 
 def _over(build: Callable[[Inputs], DataFrame]) -> Query:

@@ -220,8 +220,8 @@ def with_mart(query: str) -> str:
 
 
 def rounded(query: str, *columns: str) -> str:
-    """Six decimals: the order of a floating-point sum differs between engines."""
-    replaced = ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+    """Six decimals, money four: the order of a floating-point sum differs between engines."""
+    replaced = ", ".join(f"round({c}, {4 if 'arr' in c.split('_') else 6}) AS {c}" for c in columns)
     return f"SELECT * REPLACE ({replaced}) FROM ({query})"
 
 

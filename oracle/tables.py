@@ -35,7 +35,7 @@ raw_tenants AS (
          c_name || CASE WHEN q.seq = 1 THEN ' (copy)' ELSE '' END AS company_name,
          CASE tn % 3 WHEN 0 THEN ' Starter' WHEN 1 THEN 'business' ELSE 'ENTERPRISE' END AS plan,
          r_name AS region,
-         CASE WHEN tn % 37 <> 36 THEN c_mktsegment END AS industry,
+         CASE WHEN tn % 23 <> 22 THEN c_mktsegment END AS industry,
          CASE tn % 5 WHEN 0 THEN '1-50' WHEN 1 THEN '51-200' WHEN 2 THEN '201-1000'
                      WHEN 3 THEN '1000+' ELSE 'unknown' END AS employee_size,
          s.s_name AS csm_assigned,

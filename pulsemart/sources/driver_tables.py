@@ -77,7 +77,7 @@ def tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
             "if(ingest_seq = 1, concat(c_name, ' (copy)'), c_name) AS company_name",
             "try_element_at(array(' Starter', 'business', 'ENTERPRISE'), cast(tn % 3 + 1 AS INT)) AS plan",
             "r_name AS region",
-            "if(tn % 37 != 36, c_mktsegment, NULL) AS industry",
+            "if(tn % 23 != 22, c_mktsegment, NULL) AS industry",
             "try_element_at(array('1-50', '51-200', '201-1000', '1000+', 'unknown'), cast(tn % 5 + 1 AS INT))"
             " AS employee_size",
             "s_name AS csm_assigned",
