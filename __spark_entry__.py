@@ -24,7 +24,7 @@ from pulsemart.operators import cleaning, crm, quality, scoring, usage
 from pulsemart.operators.profile import column_profile
 from pulsemart.plans import marts, sql_scripts
 from pulsemart.plans.reports import churn, executive, filters, funnel, health, marketing, renewals, trends
-from pulsemart.session import new_table_path
+from pulsemart.session import cut_lineage, new_table_path
 from pulsemart.sources import (
     scan_csv_tables,
     scan_events,
@@ -64,6 +64,11 @@ class Inputs:
     def mart(self) -> DataFrame:
         return marts.mart_tenant_health(self.clean, CFG)
 
+    @cached_property
+    def stored_mart(self) -> DataFrame:
+        """For queries that read the mart more than once: the fact tables are scanned only for the first."""
+        return cut_lineage(self.mart, "mart")
+
     @cached_property
     def weekly(self) -> DataFrame:
         return marts.mart_weekly_activity(self.clean, CFG)
@@ -86,13 +91,7 @@ class Inputs:
 
     @cached_property
     def predictions(self) -> DataFrame:
-        """Predictions from a score SQL can compute too: the lower the health, the higher the risk."""
-        risk = F.lit(1.0) - F.col("health_score") / 100
-        return features.churn_features(self.mart, CFG).select(
-            *training.KEEP,
-            F.bround(risk, 4).alias("churn_probability"),
-            (risk >= CFG.churn_threshold).cast("int").alias("churn_flag"),
-        )
+        return predictions_from(self.mart)
 
     @cached_property
     def scored(self) -> DataFrame:
@@ -103,13 +102,23 @@ class Inputs:
         )
 
 
+def predictions_from(mart: DataFrame) -> DataFrame:
+    """Predictions from a score SQL can compute too: the lower the health, the higher the risk."""
+    risk = F.lit(1.0) - F.col("health_score") / 100
+    return features.churn_features(mart, CFG).select(
+        *training.KEEP,
+        F.bround(risk, 4).alias("churn_probability"),
+        (risk >= CFG.churn_threshold).cast("int").alias("churn_flag"),
+    )
+
+
 class Fitted:
     """One training run per session and data directory, shared by the model queries."""
 
     _runs: dict[tuple[str, str], "Fitted"] = {}
 
     def __init__(self, x: Inputs):
-        self.data = training.training_set(x.mart, CFG)
+        self.data = training.training_set(x.stored_mart, CFG)
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Fitted":
@@ -210,10 +219,15 @@ def _optional_scan(x: Inputs) -> DataFrame:
     return there.unionByName(absent)
 
 
+def _one_hot(x: Inputs) -> DataFrame:
+    sources = list(features.ONE_HOT.values())
+    return features.one_hot_features(x.stored_mart.select("tenant_id", *sources)).drop(*sources)
+
+
 def _feature_values(x: Inputs) -> DataFrame:
-    pairs = features.categories(x.mart)
+    pairs = features.categories(x.stored_mart)
     names = F.array(*[F.lit(n) for n in features.feature_names(pairs)])
-    vector = features.feature_selection(features.churn_features(x.mart, CFG), pairs)
+    vector = features.feature_selection(features.churn_features(x.stored_mart, CFG), pairs)
     return vector.select(
         "tenant_id", F.inline(F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("value")))
     )
@@ -350,7 +364,9 @@ def queries() -> dict[str, Query]:
         "health_score_range": _over(lambda x: health.health_score_range(x.mart)),
         "bottom_n_components": _over(lambda x: health.bottom_n_components(x.mart)),
         "health_scorecard": _over(lambda x: health.health_scorecard(x.mart)),
-        "at_risk_kpis": _over(lambda x: renewals.at_risk_kpis(x.mart, x.renewals)),
+        "at_risk_kpis": _over(
+            lambda x: renewals.at_risk_kpis(x.stored_mart, marts.mart_renewal_pipeline(x.stored_mart, CFG))
+        ),
         "at_risk_list": _over(lambda x: renewals.at_risk_list(x.mart)),
         "renewal_table": _over(lambda x: renewals.renewal_table(x.renewals)),
         "blind_spot_detail": _over(lambda x: renewals.blind_spot_detail(x.mart)),
@@ -373,7 +389,9 @@ def queries() -> dict[str, Query]:
         "churn_kpis": _over(lambda x: churn.churn_kpis(x.predictions)),
         "churn_histogram": _over(lambda x: churn.churn_histogram(x.predictions)),
         "churn_scatter": _over(lambda x: churn.churn_scatter(x.predictions)),
-        "churn_high_risk_table": _over(lambda x: churn.churn_high_risk_table(x.predictions, x.mart)),
+        "churn_high_risk_table": _over(
+            lambda x: churn.churn_high_risk_table(predictions_from(x.stored_mart), x.stored_mart)
+        ),
         "high_risk_summary": _over(lambda x: churn.high_risk_summary(x.predictions)),
         "feature_importance_topn": _with_model(
             lambda f, spark: churn.feature_importance_topn(_importance(f, spark))
@@ -383,15 +401,13 @@ def queries() -> dict[str, Query]:
         "churn_features": _over(
             lambda x: features.churn_features(x.mart, CFG).select("tenant_id", *engineered)
         ),
-        "one_hot_features": _over(
-            lambda x: features.one_hot_features(x.mart).drop(*[c for c in x.mart.columns if c != "tenant_id"])
-        ),
+        "one_hot_features": _over(_one_hot),
         "feature_selection": _over(_feature_values),
         "class_balance": _over(lambda x: metrics.class_balance(x.scored)),
         "stratified_folds": _over(_fold_sizes),
         "train_churn_model": _with_model(_model_shape),
         "cross_validate_churn": _with_model(lambda f, spark: f.validation),
-        "leakage_check": _over(lambda x: training.leakage_check(x.mart, CFG)),
+        "leakage_check": _over(lambda x: training.leakage_check(x.stored_mart, CFG)),
         "churn_predictions": _with_model(
             lambda f, spark: training.churn_predictions(f.model, f.data, CFG)
         ),

@@ -25,7 +25,8 @@ def to_instant(c: str) -> Column:
 
 def flag(c: str) -> Column:
     """Boolean from 0/1 or true/false in any type; NULL and anything else is false."""
-    return F.coalesce(F.lower(F.trim(F.col(c).cast("string"))).isin("1", "true"), F.lit(False))
+    text = F.lower(F.trim(F.col(c).cast("string")))
+    return F.coalesce(text.isin("1", "1.0", "true"), F.lit(False))
 
 
 def is_not_in(c: Column, values: Iterable) -> Column:

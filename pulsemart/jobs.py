@@ -15,6 +15,7 @@ from pulsemart.ml import training
 from pulsemart.operators.cleaning import CLEANERS, clean_events
 from pulsemart.operators.quality import dq_report
 from pulsemart.plans import marts
+from pulsemart.session import size_shuffles
 from pulsemart.sources import scan_events, scan_parquet, sink_csv_report, sink_parquet
 
 DQ_REPORT = "data_quality_report"
@@ -50,6 +51,7 @@ def clean_tables(spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig
 
 def mart_job(spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig()) -> None:
     """The health mart is written first; four of the others are read from it."""
+    size_shuffles(spark, [clean_path(out, t) for t in CLEANERS])
     tables = clean_tables(spark, out, cfg)
     sink_parquet(marts.mart_tenant_health(tables, cfg), mart_path(out, "mart_tenant_health"))
     sink_parquet(marts.mart_weekly_activity(tables, cfg), mart_path(out, "mart_weekly_activity"))

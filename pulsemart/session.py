@@ -32,6 +32,36 @@ def local_session(cores: str = "8", app: str = "pulsemart", **extra: str) -> Spa
     return session
 
 
+# A shuffle partition per gigabyte read: partial aggregation leaves far less than that
+# to shuffle. The cap bounds the number of shuffle blocks (map tasks x partitions).
+BYTES_PER_SHUFFLE_PARTITION = 1 << 30
+MOST_SHUFFLE_PARTITIONS = 20_000
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, from the file system Spark itself uses; 0 if absent."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not file_system.exists(hadoop_path):
+        return 0
+    return file_system.getContentSummary(hadoop_path).getLength()
+
+
+def size_shuffles(
+    spark: SparkSession, paths: list[str], bytes_per_partition: int = BYTES_PER_SHUFFLE_PARTITION
+) -> int:
+    """Start shuffles with enough partitions for the input; AQE merges what turns out small.
+
+    The session's own setting is kept as the lower bound.
+    """
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = sum(stored_bytes(spark, path) for path in paths)
+    wanted = max(least, min(total // bytes_per_partition, MOST_SHUFFLE_PARTITIONS))
+    if wanted > least:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
+    return wanted
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 

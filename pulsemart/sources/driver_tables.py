@@ -15,6 +15,8 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pulsemart.session import size_shuffles
+
 # Declared, so that opening a table costs no schema-inference job.
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
@@ -202,6 +204,7 @@ class RawTables(Mapping):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._sf_dir = spark, sf_dir
+        size_shuffles(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("customer", "orders", "events")])
         self._opened: dict[str, DataFrame] = {}
 
     def __getitem__(self, table: str) -> DataFrame:

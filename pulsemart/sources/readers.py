@@ -15,8 +15,7 @@ from pulsemart.sources.schemas import RAW_SCHEMAS, TABLES
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Look through the file system Spark itself uses (HDFS, object store or local)."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(file_system.exists(hadoop_path))
+    return bool(hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path))
 
 
 def _schema(ddl: str) -> StructType:

@@ -47,3 +47,19 @@ def test_cut_lineage_starts_a_new_plan(spark):
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "Aggregate" not in plan
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_shuffles_grow_with_the_input(spark, sf_dir):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    path = f"{sf_dir}/orders.parquet"
+    size = session.stored_bytes(spark, path)
+    assert size > 100_000 and session.stored_bytes(spark, f"{path}-absent") == 0
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        assert session.size_shuffles(spark, [path]) == least
+        assert spark.conf.get(key, None) is None
+        assert session.size_shuffles(spark, [path], bytes_per_partition=10_000) == size // 10_000
+        assert int(spark.conf.get(key)) == size // 10_000
+        assert session.size_shuffles(spark, [path], bytes_per_partition=1) == session.MOST_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.unset(key)
