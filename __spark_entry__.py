@@ -20,7 +20,7 @@ from oracle import reports as oracle_reports
 from oracle import tables as oracle_tables
 from pulsemart import HealthConfig
 from pulsemart.ml import features, metrics, training
-from pulsemart.operators import cleaning, crm, quality, scoring, usage
+from pulsemart.operators import crm, quality, scoring, usage
 from pulsemart.operators.profile import column_profile
 from pulsemart.plans import marts, sql_scripts
 from pulsemart.plans.reports import churn, executive, filters, funnel, health, marketing, renewals, trends
@@ -35,7 +35,7 @@ from pulsemart.sources import (
     sink_parquet,
 )
 from pulsemart.sources.driver_tables import RawTables
-from pulsemart.sources.schemas import METRICS_SCHEMA, PREDICTIONS_SCHEMA, TABLES
+from pulsemart.sources.schemas import METRICS_SCHEMA, PREDICTIONS_SCHEMA, SEQUENCE, TABLES
 
 CFG = HealthConfig()
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -54,7 +54,7 @@ class Inputs:
 
     def declared(self, table: str) -> DataFrame:
         """A raw table with the declared columns only, as an export would hold it."""
-        return self.raw[table].drop(cleaning.SEQUENCE)
+        return self.raw[table].drop(SEQUENCE)
 
     @cached_property
     def clean(self) -> marts.CleanTables:
@@ -171,7 +171,8 @@ def _csv_round_trip(x: Inputs) -> DataFrame:
         x.declared(table).write.option("header", True).option("escape", '"').option(
             "ignoreLeadingWhiteSpace", False
         ).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{table}.csv")
-    return _profiles(scan_csv_tables(x.spark, folder, target))
+    loaded = scan_csv_tables(x.spark, folder, target)
+    return _profiles({table: df.drop(SEQUENCE) for table, df in loaded.items()})
 
 
 def _sql_table(x: Inputs) -> DataFrame:

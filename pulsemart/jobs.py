@@ -16,9 +16,25 @@ from pulsemart.operators.cleaning import CLEANERS, clean_events
 from pulsemart.operators.quality import dq_report
 from pulsemart.plans import marts
 from pulsemart.session import size_shuffles
-from pulsemart.sources import scan_events, scan_parquet, sink_csv_report, sink_parquet
+from pulsemart.sources import (
+    scan_events,
+    scan_optional_csv,
+    scan_optional_parquet,
+    scan_parquet,
+    sink_csv_report,
+    sink_parquet,
+)
+from pulsemart.sources.schemas import IMPORTANCE_SCHEMA, METRICS_SCHEMA, PREDICTIONS_SCHEMA
 
 DQ_REPORT = "data_quality_report"
+MARTS = (
+    "mart_tenant_health",
+    "mart_weekly_activity",
+    "mart_channel_performance",
+    "mart_renewal_pipeline",
+    "mart_trial_funnel",
+    "mart_trial_funnel_diagnostics",
+)
 
 
 def clean_path(out: str, table: str) -> str:
@@ -82,3 +98,15 @@ def model_job(
         training.model_metrics(model, data, validation, cfg), mart_path(out, "churn_model_metrics")
     )
     training.save_model(model, mart_path(out, "churn_model"))
+
+
+def report_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """Everything the report pages read. Model outputs are empty until the model job has run."""
+    return {
+        **{mart: scan_parquet(spark, mart_path(out, mart)) for mart in MARTS},
+        "churn_predictions": scan_optional_parquet(
+            spark, mart_path(out, "churn_predictions"), PREDICTIONS_SCHEMA
+        ),
+        "feature_importance": scan_optional_csv(spark, mart_path(out, "feature_importance"), IMPORTANCE_SCHEMA),
+        "churn_model_metrics": scan_optional_csv(spark, mart_path(out, "churn_model_metrics"), METRICS_SCHEMA),
+    }

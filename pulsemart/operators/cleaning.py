@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsemart.config import EMPLOYEE_SIZES, VALID_ROLES, HealthConfig
 from pulsemart.functions import flag, is_not_in, tidy, tier_rank, to_day, to_instant
-
-SEQUENCE = "ingest_seq"
+from pulsemart.sources.schemas import SEQUENCE
 
 
 def first_per_tenant(raw: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from pulsemart.config import EMPLOYEE_SIZES, VALID_ROLES
 from pulsemart.functions import flag, is_not_in, tidy, to_day, to_instant
-from pulsemart.operators.cleaning import SEQUENCE, first_per_tenant
-from pulsemart.sources.schemas import TABLES
+from pulsemart.operators.cleaning import first_per_tenant
+from pulsemart.sources.schemas import SEQUENCE, TABLES
 
 # Texts of the report.
 NULL_ISSUE = ("null values", "retained -- handled downstream")

@@ -2,6 +2,7 @@ from pulsemart.sources.readers import (
     scan_csv_tables,
     scan_events,
     scan_jdbc_table,
+    scan_optional_csv,
     scan_optional_parquet,
     scan_parquet,
     scan_sql_table,
@@ -12,6 +13,7 @@ __all__ = [
     "scan_csv_tables",
     "scan_events",
     "scan_jdbc_table",
+    "scan_optional_csv",
     "scan_optional_parquet",
     "scan_parquet",
     "scan_sql_table",

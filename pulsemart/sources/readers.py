@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from pulsemart.functions import flag, instant_literal
-from pulsemart.sources.schemas import RAW_SCHEMAS, TABLES
+from pulsemart.sources.schemas import RAW_SCHEMAS, SEQUENCE, SEQUENCED, TABLES
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -33,7 +33,10 @@ def _csv_schema(ddl: str) -> StructType:
 
 
 def scan_csv_table(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """One header CSV with its declared schema; 0/1 and True/False both become 0/1."""
+    """One header CSV with its declared schema; 0/1 and True/False both become 0/1.
+
+    Tenants also get their position, which follows the lines of a single file.
+    """
     declared = _schema(RAW_SCHEMAS[table])
     raw = (
         spark.read.schema(_csv_schema(RAW_SCHEMAS[table]))
@@ -51,7 +54,8 @@ def scan_csv_table(spark: SparkSession, table: str, path: str) -> DataFrame:
             value = F.col(field.name).try_cast(field.dataType)
         return value.alias(field.name)
 
-    return raw.select(*[typed(f) for f in declared])
+    position = [F.monotonically_increasing_id().alias(SEQUENCE)] if table in SEQUENCED else []
+    return raw.select(*[typed(f) for f in declared], *position)
 
 
 def scan_csv_tables(
@@ -124,3 +128,10 @@ def scan_optional_parquet(spark: SparkSession, path: str, schema: str) -> DataFr
     if path_exists(spark, path):
         return spark.read.parquet(path)
     return spark.createDataFrame([], _schema(schema))
+
+
+def scan_optional_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Like `scan_optional_parquet`, for reports written as CSV."""
+    if path_exists(spark, path):
+        return spark.read.schema(_schema(schema)).option("header", True).csv(path)
+    return spark.createDataFrame([], _schema(schema))

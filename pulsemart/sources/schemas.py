@@ -37,6 +37,10 @@ RAW_SCHEMAS = {
 
 TABLES = tuple(RAW_SCHEMAS)
 
+# Position of a row in its source, where "first" has a meaning: only tenants are deduplicated.
+SEQUENCE = "ingest_seq"
+SEQUENCED = ("tenants",)
+
 PREDICTIONS_SCHEMA = (
     "tenant_id STRING, company_name STRING, plan STRING, arr DOUBLE, churned BOOLEAN, "
     "renewal_date DATE, days_to_renewal INT, health_score DOUBLE, health_tier STRING, "

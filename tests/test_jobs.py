@@ -6,8 +6,10 @@ import pytest
 
 import __spark_entry__ as entry
 from pulsemart import HealthConfig, jobs
+from pulsemart.__main__ import main
 from pulsemart.ml import training
 from pulsemart.plans import marts
+from pulsemart.plans.reports import churn
 from pulsemart.sources import scan_parquet
 from pulsemart.sources.driver_tables import RawTables
 from tests.compare import spark_rows
@@ -16,6 +18,26 @@ SMALL = "/root/testdata/sf0.001"
 FEW_TREES = training.TreeParams(trees=4)
 
 
+def test_command_line_from_csv_to_marts(spark, tmp_path, capfd):
+    raw = RawTables(spark, SMALL)
+    for table in raw:
+        raw[table].drop("ingest_seq").toPandas().to_csv(tmp_path / f"{table}.csv", index=False)
+    out = str(tmp_path / "out")
+    main(["clean", "--csv", str(tmp_path), "--out", out])
+    main(["marts", "--out", out])
+    capfd.readouterr()
+    tables = jobs.report_tables(spark, out)
+    assert {t: tables[t].count() for t in ("churn_predictions", "feature_importance", "churn_model_metrics")} == {
+        "churn_predictions": 0, "feature_importance": 0, "churn_model_metrics": 0
+    }
+    assert spark_rows(tables["mart_weekly_activity"]) == spark_rows(entry.Inputs(spark, SMALL).weekly)
+    assert spark_rows(tables["mart_tenant_health"].drop("company_name")) == spark_rows(
+        entry.Inputs(spark, SMALL).mart.drop("company_name")
+    )
+    with pytest.raises(SystemExit):
+        main(["clean", "--out", out])
+
+
 @pytest.fixture(scope="module")
 def out(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("jobs"))
@@ -58,6 +80,10 @@ def test_invariants(spark, out):
 
 
 def test_model_outputs(spark, out):
+    tables = jobs.report_tables(spark, out)
+    assert churn.feature_importance_topn(tables["feature_importance"]).count() == 15
+    assert churn.model_metrics_summary(tables["churn_model_metrics"]).first().decision_threshold == 0.35
+    assert churn.churn_kpis(tables["churn_predictions"]).first().avg_probability is not None
     predictions = stored(spark, out, "churn_predictions").toPandas()
     assert predictions.churn_probability.between(0, 1).all()
     assert len(predictions) == stored(spark, out, "mart_tenant_health").count()

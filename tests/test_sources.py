@@ -40,6 +40,7 @@ def test_csv_values(spark, folder):
     tables = scan_csv_tables(spark, folder)
     assert list(tables) == list(TABLES)
     for table, df in tables.items():
+        df = df.drop("ingest_seq")
         assert df.schema.simpleString() == spark.createDataFrame([], RAW_SCHEMAS[table]).schema.simpleString()
     assert tables["tenants"].first()[:5] == ("t", "A, B", " Pro ", "r", None)
     assert [(r.arr, r.churned) for r in tables["subscriptions"].collect()] == [(10.5, 1), (None, 0)]
@@ -47,6 +48,23 @@ def test_csv_values(spark, folder):
     assert tables["events"].first().properties == '{"k": "a,b"}'
 
 
+def test_first_line_of_a_tenant_wins(spark, folder):
+    with open(f"{folder}/tenants.csv", "a") as f:
+        f.writelines(f"t{i % 7},name{99999 - i},p,r,i,1-50,m\n" for i in range(20000))
+    small_splits = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "0"}
+    before = {key: spark.conf.get(key) for key in small_splits}
+    try:
+        for key, value in small_splits.items():
+            spark.conf.set(key, value)
+        tenants = scan_csv_tables(spark, folder)["tenants"]
+        assert tenants.rdd.getNumPartitions() > 4
+        got = {r.tenant_id: r.company_name for r in cleaning.clean_tenants(tenants).collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert got == {"t": "A, B", **{f"t{i}": f"name{99999 - i}" for i in range(7)}}
+
+
 def test_all_missing_files_are_named(spark, folder):
     os.remove(f"{folder}/users.csv")
     os.remove(f"{folder}/events.csv")
