@@ -1,6 +1,6 @@
 """Metrics, the health mart and the marts derived from it."""
 
-from oracle.tables import CLEAN, DAY, HV, RAW, with_clean, with_raw
+from oracle.tables import CLEAN, DAY, HV, RAW, with_raw
 
 WINDOWS = {"30d": (30, 0), "60d": (60, 0), "90d": (90, 0), "recent_4w": (28, 0), "prior_4w": (56, 28)}
 

@@ -7,6 +7,7 @@ from pulsemart.functions.columns import (
     is_not_in,
     percent_text,
     ratio_or_zero,
+    sql_text,
     steps,
     tidy,
     tier_rank,
@@ -26,6 +27,7 @@ __all__ = [
     "is_not_in",
     "percent_text",
     "ratio_or_zero",
+    "sql_text",
     "steps",
     "tidy",
     "tier_rank",

@@ -9,6 +9,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_text(value: str) -> str:
+    """A string as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def tidy(c: str) -> Column:
     """Lower-case, then strip surrounding blanks."""
     return F.trim(F.lower(F.col(c)))

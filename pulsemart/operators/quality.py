@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.config import EMPLOYEE_SIZES, VALID_ROLES
-from pulsemart.functions import flag, is_not_in, tidy, to_day, to_instant
+from pulsemart.functions import flag, is_not_in, sql_text, tidy, to_day, to_instant
 from pulsemart.operators.cleaning import first_per_tenant
 from pulsemart.sources.schemas import SEQUENCE, TABLES
 
@@ -109,17 +109,12 @@ def _tenant_rules() -> list[Check]:
     ]
 
 
-def _text(value: str) -> str:
-    """An SQL string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _count(df: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     """Run all checks in one aggregation; keep those that hit."""
     counts = df.agg(*[expression.alias(f"n{i}") for i, (_, _, _, expression) in enumerate(checks)])
     lines = [
-        f"struct({_text(table)} AS table, {_text(column)} AS column, {_text(issue)} AS issue, "
-        f"cast(n{i} AS BIGINT) AS affected_rows, {_text(action)} AS action)"
+        f"struct({sql_text(table)} AS table, {sql_text(column)} AS column, {sql_text(issue)} AS issue, "
+        f"cast(n{i} AS BIGINT) AS affected_rows, {sql_text(action)} AS action)"
         for i, (column, issue, action, _) in enumerate(checks)
     ]
     return counts.selectExpr(f"inline(array({', '.join(lines)}))").where("affected_rows > 0")

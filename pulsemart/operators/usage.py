@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.config import HealthConfig, Window
-from pulsemart.functions import ratio_or_zero, week_start
+from pulsemart.functions import ratio_or_zero, sql_text, week_start
 
 # Days fit into 64-bit words; staying below 63 keeps every word positive.
 BITS_PER_WORD = 62
@@ -35,7 +35,7 @@ def _inside(window: Window, cfg: HealthConfig) -> str:
 
 
 def _names(events: tuple[str, ...]) -> str:
-    return "event_name IN (" + ", ".join(f"'{e}'" for e in events) + ")"
+    return "event_name IN (" + ", ".join(map(sql_text, events)) + ")"
 
 
 def _day_word(word: int) -> str:

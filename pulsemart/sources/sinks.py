@@ -6,20 +6,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def sink_parquet(df: DataFrame, path: str, by_month_of: str | None = None) -> None:
+def sink_parquet(
+    df: DataFrame, path: str, by_month_of: str | None = None, rebalance: bool = False
+) -> None:
     """Replace the table at ``path``.
 
     ``by_month_of`` lays a time series out in month folders so that look-back
-    scans prune. Rows are rebalanced by month first, or every task would leave a
-    small file in every month; a rebalance splits large months over several
-    tasks and packs small ones together.
+    scans prune. Rows are written by the task that holds them, so a fact table
+    is not shuffled; a task leaves a file in each month it holds. For a history
+    of many months in random order ``rebalance`` shuffles once to avoid small
+    files: large months are split over several tasks, small ones share one.
     """
     if by_month_of is None:
         df.write.mode("overwrite").parquet(path)
         return
     monthly = df.withColumn("event_month", F.date_format(F.col(by_month_of).cast("date"), "yyyy-MM"))
-    balanced = monthly.hint("rebalance", "event_month")
-    balanced.write.mode("overwrite").partitionBy("event_month").parquet(path)
+    if rebalance:
+        monthly = monthly.hint("rebalance", "event_month")
+    monthly.write.mode("overwrite").partitionBy("event_month").parquet(path)
 
 
 def sink_csv_report(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:

@@ -1,6 +1,7 @@
 """Reading and writing tables."""
 
 import os
+from datetime import date
 
 import pytest
 
@@ -105,15 +106,16 @@ def test_empty_report_has_a_header(spark, tmp_path):
     assert text.strip() == "table,column,issue,affected_rows,action"
 
 
-def test_event_scan_reads_only_the_months_it_needs(spark, tmp_path):
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_event_scan_reads_only_the_months_it_needs(spark, tmp_path, rebalance):
     path = str(tmp_path / "events")
     rows = [(f"e{i}", "t", "u", "x", f"2024-{1 + i % 6:02d}-{1 + i % 28:02d}", 1, None) for i in range(200)]
-    clean = cleaning.clean_events(spark.createDataFrame(rows, RAW_SCHEMAS["events"]))
-    sink_parquet(clean, path, by_month_of="event_time")
+    clean = cleaning.clean_events(spark.createDataFrame(rows, RAW_SCHEMAS["events"]).repartition(4))
+    sink_parquet(clean, path, by_month_of="event_time", rebalance=rebalance)
     months = sorted(d for d in os.listdir(path) if d.startswith("event_month="))
     assert months == [f"event_month=2024-{m:02d}" for m in range(1, 7)]
-    assert all(len([f for f in os.listdir(f"{path}/{m}") if f.endswith(".parquet")]) == 1 for m in months)
-    from datetime import date
+    files = [len([f for f in os.listdir(f"{path}/{m}") if f.endswith(".parquet")]) for m in months]
+    assert files == [1] * 6 if rebalance else all(1 <= n <= 4 for n in files)
 
     scan = scan_events(spark, path, date(2024, 4, 1))
     plan = scan._jdf.queryExecution().executedPlan().toString()
