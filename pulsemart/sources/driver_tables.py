@@ -142,7 +142,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
             " THEN if(event_id % 2 = 0, 'risky_workspace_resolved', 'risky_workspace_detected')"
             " END AS event_name",
             "if(event_id % 997 = 0, 'not-a-time',"
-            f" translate(substring(cast({start} + (ts - {start}) * 6 AS STRING), 1, 19), ' ', 'T'))"
+            f" replace(substring(cast({start} + (ts - {start}) * 6 AS STRING), 1, 19), ' ', 'T'))"
             " AS event_time",
             "floor(value) % 5 AS event_count",
             "if(event_id % 12 != 0, props, NULL) AS properties",
