@@ -37,6 +37,22 @@ from pulsemart.sources import (
 from pulsemart.sources.driver_tables import RawTables
 from pulsemart.sources.schemas import METRICS_SCHEMA, PREDICTIONS_SCHEMA, SEQUENCE, TABLES
 
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LLM_ORACLES: dict[str, str] = {}
+try:
+    import corpus_pipeline
+    from pulsemart.llm import oracle as llm_oracle
+    from pulsemart.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # Only the absence of the package itself is passed over.
+    if (missing.name or "") != "corpus_pipeline" and not (missing.name or "").startswith("pulsemart.llm"):
+        raise
+else:
+    LLM_QUERIES = {**llm_queries.QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_ORACLES = dict(llm_oracle.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 CFG = HealthConfig()
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -423,6 +439,7 @@ def queries() -> dict[str, Query]:
         "average_precision": _over(lambda x: metrics.average_precision(x.scored)),
         "feature_importance": _with_model(_importance),
         "model_metrics": _with_model(lambda f, spark: _metrics(f)),
+        **LLM_QUERIES,
     }
 
 
@@ -433,4 +450,5 @@ def oracle_sql() -> dict[str, str]:
         **oracle_marts.QUERIES,
         **oracle_reports.QUERIES,
         **oracle_model.QUERIES,
+        **LLM_ORACLES,
     }
