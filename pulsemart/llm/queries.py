@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pulsemart.llm import mixing, simhash
+from pulsemart.llm import langid, mixing, quality, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +16,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _held_out(modulus: int, remainder: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"), quality.trusted_rows())
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", _held_out(4, 2).alias("held_out"), "score", "predicted")
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit_language_model(docs, langid.trusted_rows())
+    found = langid.identify_language(docs, model)
+    return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), toxicity.trusted_rows())
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", _held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "fingerprint", "component_id")
@@ -26,6 +52,9 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op4_quality": op4_quality,
+    "op5_language": op5_language,
+    "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op10_mix_sources": op10_mix_sources,
 }
