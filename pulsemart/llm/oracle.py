@@ -47,4 +47,19 @@ SELECT doc_id, size, source_size, target,
 FROM drawn
 """
 
-ORACLES: dict[str, str] = {"op10_mix_sources": MIX_SOURCES}
+WARC = """
+WITH payloads AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+),
+firsts AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id
+    FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN first_id IS DISTINCT FROM page_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+ORACLES: dict[str, str] = {"op6_warc": WARC, "op10_mix_sources": MIX_SOURCES}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import langid, mixing, quality, simhash, toxicity
+from pulsemart.llm import decontaminate, langid, mixing, neighbours, quality, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,11 @@ def _held_out(modulus: int, remainder: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"), quality.trusted_rows())
@@ -34,6 +39,19 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    read = warc.read_warc(warc.archive_pages(spark, pages), with_payload=False)
+    kind = pages.schema["page_id"].dataType
+    return read.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), toxicity.trusted_rows())
@@ -46,15 +64,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "windows", "coverage", "changed")
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sizes(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Query] = {
+    "op1_neighbours": op1_neighbours,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
+    "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
+    "op9_decontaminate": op9_decontaminate,
     "op10_mix_sources": op10_mix_sources,
 }
