@@ -1,5 +1,7 @@
 """Expected results of the package's queries as DuckDB SQL, where SQL can state them."""
 
+from pulsemart.llm.licenses import COPYRIGHT_LINES, KNOWN_LICENSES, MARKS, SPELLINGS
+
 MIX_SOURCES = """
 WITH sizes AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
@@ -62,4 +64,32 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM firsts
 """
 
-ORACLES: dict[str, str] = {"op6_warc": WARC, "op10_mix_sources": MIX_SOURCES}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    def replaced(sql: str, pattern: str, by: str) -> str:
+        return f"regexp_replace({sql}, {_quoted(pattern)}, {_quoted(by.replace('$', chr(92)))}, 'g')"
+
+    sql = f"replace({replaced(f'lower({text})', COPYRIGHT_LINES, '$1')}, '&', ' and ')"
+    sql = f"(' ' || {replaced(sql, MARKS, ' ')} || ' ')"
+    for pattern, by in SPELLINGS:
+        sql = replaced(sql, pattern, by)
+    return f"trim({replaced(sql, ' +', ' ')})"
+
+
+LICENSES = f"""
+WITH known(license, text) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN_LICENSES)}),
+digests AS (
+    SELECT sha256({_canonical("text")}) AS digest, min(license) AS license
+    FROM known GROUP BY 1
+),
+forms AS (SELECT doc_id, {_canonical("text")} AS form FROM documents)
+SELECT f.doc_id, CASE WHEN f.form <> '' THEN sha256(f.form) END AS digest, d.license
+FROM forms f LEFT JOIN digests d ON f.form <> '' AND sha256(f.form) = d.digest
+"""
+
+ORACLES: dict[str, str] = {"op3_licenses": LICENSES, "op6_warc": WARC, "op10_mix_sources": MIX_SOURCES}

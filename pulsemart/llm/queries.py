@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import decontaminate, langid, mixing, neighbours, quality, simhash, toxicity, warc
+from pulsemart.llm import decontaminate, langid, licenses, mixing, neighbours, quality, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.default_licenses(spark))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"), quality.trusted_rows())
@@ -76,6 +80,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
+    "op3_licenses": op3_licenses,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_warc": op6_warc,
