@@ -92,4 +92,44 @@ SELECT f.doc_id, CASE WHEN f.form <> '' THEN sha256(f.form) END AS digest, d.lic
 FROM forms f LEFT JOIN digests d ON f.form <> '' AND sha256(f.form) = d.digest
 """
 
-ORACLES: dict[str, str] = {"op3_licenses": LICENSES, "op6_warc": WARC, "op10_mix_sources": MIX_SOURCES}
+# Stupid backoff with three words, tables of n-grams that occur twice, on n-grams as text.
+STUPID_BACKOFF = """
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+words AS (
+    SELECT r, unnest(w) AS w3, unnest(range(1, len(w) + 1)) AS i,
+        unnest(list_concat([NULL], w)[1:len(w)]) AS w2, unnest(list_concat([NULL, NULL], w)[1:len(w)]) AS w1
+    FROM texts
+),
+grams AS (
+    SELECT r, i, w3 AS g1, CASE WHEN i > 1 THEN w2 || ' ' || w3 END AS g2,
+        CASE WHEN i > 2 THEN w1 || ' ' || w2 || ' ' || w3 END AS g3,
+        CASE WHEN i > 1 THEN w2 END AS c1, CASE WHEN i > 2 THEN w1 || ' ' || w2 END AS c2
+    FROM words
+),
+n1 AS (SELECT g1 AS g, count(*) AS n FROM grams GROUP BY 1),
+n2 AS (SELECT g2 AS g, count(*) AS n FROM grams WHERE g2 IS NOT NULL GROUP BY 1),
+n3 AS (SELECT g3 AS g, count(*) AS n FROM grams WHERE g3 IS NOT NULL GROUP BY 1),
+size AS (SELECT count(*) AS n FROM grams),
+scored AS (
+    SELECT r, CASE
+        WHEN a3.n >= 2 THEN ln(a3.n / b2.n)
+        WHEN a2.n >= 2 THEN CASE WHEN g3 IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END + ln(a2.n / b1.n)
+        ELSE CASE WHEN g3 IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END + CASE WHEN g2 IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END
+            + ln(a1.n / size.n)
+        END AS s
+    FROM grams CROSS JOIN size
+    JOIN n1 a1 ON a1.g = g1
+    LEFT JOIN n2 a2 ON a2.g = g2 LEFT JOIN n3 a3 ON a3.g = g3
+    LEFT JOIN n1 b1 ON b1.g = c1 LEFT JOIN n2 b2 ON b2.g = c2
+),
+sums AS (SELECT r, sum(s) AS s FROM scored GROUP BY r)
+SELECT doc_id, len(w) AS words, round(coalesce(s, 0), 6) AS score,
+    CASE WHEN len(w) > 0 THEN round(s / len(w), 6) END AS per_word
+FROM texts LEFT JOIN sums USING (r)
+"""
+
+ORACLES: dict[str, str] = {"op2_stupid_backoff": STUPID_BACKOFF, "op3_licenses": LICENSES, "op6_warc": WARC, "op10_mix_sources": MIX_SOURCES}

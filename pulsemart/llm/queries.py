@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import decontaminate, langid, licenses, mixing, neighbours, quality, simhash, toxicity, warc
+from pulsemart.llm import decontaminate, langid, licenses, mixing, neighbours, ngrams, quality, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,14 @@ def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngrams.score_documents(table(spark, sf_dir, "documents"))
+    # The order of a floating-point sum is not fixed.
+    return scored.select(
+        "doc_id", "words", F.round("score", 6).alias("score"), F.round("per_word", 6).alias("per_word")
+    )
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.default_licenses(spark))
 
@@ -80,6 +88,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
+    "op2_stupid_backoff": op2_stupid_backoff,
     "op3_licenses": op3_licenses,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
