@@ -1,8 +1,8 @@
 """SimHash near-duplicates: fingerprints of word shingles, linked by bit-sliced comparison.
 
-Fingerprints within ``radius`` bits agree on all but ``radius`` of ``radius + 2``
-bands, so every linked pair shares the bits of some two bands, and each choice of
-two bands is one set of blocks. In a block the fingerprints stand vertically, one
+Of ``radius + t`` bands, fingerprints within ``radius`` bits agree on ``t`` at least, so
+every linked pair shares the bits of some choice of t bands, and each choice is one set
+of blocks; t grows with the number of fingerprints, so that blocks stay small. In a block the fingerprints stand vertically, one
 packed bit plane per fingerprint bit: a query is compared with all of them by adding
 its difference planes into saturating carry-save counters, and words of 64
 fingerprints whose counters all exceed the radius are left out of the later planes.
@@ -28,6 +28,11 @@ SEED = 42
 SHINGLES_AT_ONCE = 1 << 18
 # Fingerprints of one block that a task compares at once; larger blocks are dealt out as pairs of chunks.
 CHUNK = 4096
+# Blocks up to this size are compared together, a lane for each of their pairs.
+SMALL = 32
+# Fingerprints of a block, on average, as long as more bands can be asked to agree.
+BLOCK = 16
+MOST_BANDS = 4
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -157,23 +162,51 @@ def block_links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return links
 
 
-def band_keys(fp: Column, radius: int) -> Column:
-    """One (choice, key) per choice of two bands; fingerprints within ``radius`` share one at least."""
-    bands = radius + 2
+def small_block_links(values: np.ndarray, block: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs within ``radius`` in blocks of at most ``SMALL`` values, as indexes; ``block`` is ascending."""
+    left, right = [], []
+    for step in range(1, SMALL):
+        first = np.flatnonzero(block[:-step] == block[step:])
+        if not len(first):
+            break
+        planes = bit_planes(values[first] ^ values[first + step])
+        lanes = np.zeros(planes.shape[1] * 64, dtype=np.uint8)
+        lanes[: len(first)] = 1
+        found = lanes_within(planes, np.zeros(64, dtype=np.uint64), np.packbits(lanes, bitorder="little").view(np.uint64), radius)
+        near = first[np.flatnonzero(np.unpackbits(found.view(np.uint8), bitorder="little"))]
+        left.append(near)
+        right.append(near + step)
+    return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
+
+
+def bands_to_agree(radius: int, fingerprints: int) -> int:
+    """How many of radius + t bands a block's fingerprints share: 2, more only if blocks would be large."""
+    wanted = np.log2(max(fingerprints / BLOCK, 1))
+    for agree in range(2, MOST_BANDS):
+        if 64 * agree / (radius + agree) >= wanted:
+            return agree
+    return MOST_BANDS
+
+
+def band_keys(fp: Column, radius: int, agree: int) -> Column:
+    """One (choice, key) per choice of bands; fingerprints within ``radius`` share one at least."""
+    bands = radius + agree
     cuts = [64 * b // bands for b in range(bands + 1)]
     keys = []
-    for number, pair in enumerate(combinations(range(bands), 2)):
-        parts = [
-            F.shiftrightunsigned(fp, cuts[b]).bitwiseAND(F.lit((1 << (cuts[b + 1] - cuts[b])) - 1)) for b in pair
-        ]
-        key = F.shiftleft(parts[0], 32).bitwiseOR(parts[1])
+    for number, chosen in enumerate(combinations(range(bands), agree)):
+        key = F.lit(0).cast("long")
+        for b in chosen:
+            width = cuts[b + 1] - cuts[b]
+            part = F.shiftrightunsigned(fp, cuts[b]).bitwiseAND(F.lit((1 << width) - 1))
+            key = F.shiftleft(key, width).bitwiseOR(part)
         keys.append(F.struct(F.lit(number).alias("choice"), key.alias("key")))
     return F.array(*keys)
 
 
 def fingerprint_links(fps: DataFrame, radius: int = 2) -> DataFrame:
     """(a, b) links among the distinct longs in column ``fp`` that connect whatever is within ``radius``."""
-    keyed = fps.select("fp", F.inline(band_keys(F.col("fp"), radius)))
+    agree = bands_to_agree(radius, fps.count())
+    keyed = fps.select("fp", F.inline(band_keys(F.col("fp"), radius, agree)))
     # Blocks of one are dropped; blocks beyond CHUNK become pairs of chunks, every pair of rows meeting in one.
     sizes = keyed.groupBy("choice", "key").agg(F.count("*").alias("rows")).where("rows > 1")
     chunks = F.ceil(F.col("rows") / CHUNK).cast("int")
@@ -187,34 +220,42 @@ def fingerprint_links(fps: DataFrame, radius: int = 2) -> DataFrame:
     )
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for values in sorted_blocks(batches):
-            links = block_links(values.view(np.uint64), radius)
-            if links:
-                a, b = np.array(links).T
-                yield pa.RecordBatch.from_arrays([pa.array(values[a]), pa.array(values[b])], ["a", "b"])
+        for values, starts in sorted_blocks(batches):
+            sizes = np.diff(starts)
+            block = np.repeat(np.arange(len(sizes)), sizes)
+            small = np.flatnonzero((sizes <= SMALL)[block])
+            a, b = small_block_links(values[small], block[small], radius)
+            left, right = [small[a]], [small[b]]
+            for large in np.flatnonzero(sizes > SMALL):
+                links = np.array(block_links(values[starts[large] : starts[large + 1]], radius)).reshape(-1, 2)
+                left.append(starts[large] + links[:, 0].astype(int))
+                right.append(starts[large] + links[:, 1].astype(int))
+            found = values.view(np.int64)
+            columns = [pa.array(found[np.concatenate(side)]) for side in (left, right)]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
     block = ["choice", "key", "x", "y"]
-    return blocks.repartition(*block).sortWithinPartitions(*block, "fp").mapInArrow(compare, "a long, b long")
+    dealt = blocks.repartition(*block).sortWithinPartitions(*block, "fp")
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
-def sorted_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """The ``fp`` values of each run of rows that agree in all other columns."""
-    held: list[np.ndarray] = []
-    last = None
+def sorted_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Values of whole blocks, one after the other, and where each starts (and the last ends).
+
+    A block is a run of rows that agree in all columns but the last; one that goes on in
+    the next batch is held back.
+    """
+    keys, fps = np.zeros((0, 4), dtype=np.int64), np.zeros(0, dtype=np.uint64)
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
-        fps = batch.column(4).to_numpy()
-        starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, [len(fps)]])
-        for a, b in zip(starts[:-1], starts[1:]):
-            if last is not None and (keys[a] != last).any():
-                yield np.concatenate(held)
-                held = []
-            held.append(fps[a:b])
-            last = keys[a]
-    if held:
-        yield np.concatenate(held)
+        new = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
+        keys = np.concatenate([keys, new])
+        fps = np.concatenate([fps, batch.column(4).to_numpy().view(np.uint64)])
+        starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1]) if len(keys) else [0]
+        if starts[-1]:
+            yield fps[: starts[-1]], np.asarray(starts)
+            keys, fps = keys[starts[-1] :], fps[starts[-1] :]
+    if len(fps):
+        yield fps, np.array([0, len(fps)])
 
 
 def simhash_components(
