@@ -28,8 +28,9 @@ ORDER = 5
 FIT_DOCUMENTS = 400
 # Further documents per language on which the rejection is calibrated.
 CALIBRATE_DOCUMENTS = 200
-# Room above the worst calibration document.
-MARGIN = 1.5
+# Room above the worst calibration document, and the least excess that counts, in nats per
+# character of a long text: few calibration documents say little about the worst one.
+MARGIN, ROOM = 1.5, 1.2
 # Cross-entropy of a text varies less the longer it is, up to this many characters.
 STEADY = 400
 UNKNOWN = "und"
@@ -59,7 +60,7 @@ class Characters:
         factors = BASE ** np.arange(order, dtype=np.uint64)
         for k in range(1, order + 1):
             back = np.zeros(len(self.points), dtype=np.uint64)
-            back[k - 1 :] = self.points[: len(self.points) - k + 1]
+            back[k - 1 :] = self.points[: max(len(self.points) - k + 1, 0)]
             total = total + back * factors[k - 1]
             out.append(np.where(self.place >= k - 1, mixed(total + np.uint64(k)), np.uint64(0)))
         return out
@@ -301,7 +302,8 @@ def calibrate(model: LanguageModel, rows: pa.Table) -> None:
         if held.num_rows:
             entropy, size = held.column("entropy").to_numpy(), held.column("size").to_numpy()
             usual[i] = np.median(entropy)
-            limit[i] = MARGIN * max(((entropy - usual[i]) * np.sqrt(np.clip(size, 1, STEADY))).max(), 1.0)
+            excess = (entropy - usual[i]) * np.sqrt(np.clip(size, 1, STEADY))
+            limit[i] = max(MARGIN * excess.max(), ROOM * np.sqrt(STEADY))
     model.usual, model.limit = usual, limit
 
 
