@@ -26,7 +26,8 @@ SPELLINGS = (
     (r" (sub|non) (licen|commercial|infring)", " $1$2"),
     (r" (whilst|amongst) ", " while "),
     (r" copyright owner", " copyright holder"),
-    (r" (ful|wil|skil)(l?)fi?ul", " $1lful"),
+    (r" ful+fil+", " fulfil"),
+    (r" (w|sk)il+ful", " $1ilful"),
     (r" https ", " http "),
     (r" per cent ", " percent "),
 )

@@ -187,8 +187,8 @@ def score_documents(
         columns = [
             pa.array(ids, block.schema.field("ids").type.value_type),
             pa.array(np.diff(grams.starts).astype(np.int64)),
-            pa.array(sums),
-            pa.array(single),
+            pa.array(sums.astype(float)),
+            pa.array(single.astype(float)),
         ]
         return pa.table(columns, names=["doc_id", "words", "sums", "single"])
 
