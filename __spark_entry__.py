@@ -27,7 +27,6 @@ from pulsemart.plans.reports import churn, executive, filters, funnel, health, m
 from pulsemart.session import cut_lineage, new_table_path
 from pulsemart.sources import (
     scan_csv_tables,
-    scan_events,
     scan_optional_parquet,
     scan_parquet,
     scan_sql_table,
@@ -35,7 +34,7 @@ from pulsemart.sources import (
     sink_parquet,
 )
 from pulsemart.sources.driver_tables import RawTables
-from pulsemart.sources.schemas import METRICS_SCHEMA, PREDICTIONS_SCHEMA, SEQUENCE, TABLES
+from pulsemart.sources.schemas import EXTRA, METRICS_SCHEMA, PREDICTIONS_SCHEMA, SEQUENCE, TABLES
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -153,13 +152,13 @@ class Fitted:
 
 
 def _stable(df: DataFrame) -> DataFrame:
-    """Doubles to six decimals, money to four: the order of a floating-point sum is not fixed."""
+    """Doubles to six decimals: the order of a floating-point sum is not fixed. Sums of money are exact."""
 
     def shown(field):
         column = F.col(f"`{field.name}`")
-        if not isinstance(field.dataType, DoubleType):
+        if not isinstance(field.dataType, DoubleType) or "arr" in field.name.split("_"):
             return column
-        return F.round(column, 4 if "arr" in field.name.split("_") else 6).alias(field.name)
+        return F.round(column, 6).alias(field.name)
 
     return df.select(*[shown(f) for f in df.schema])
 
@@ -188,7 +187,7 @@ def _csv_round_trip(x: Inputs) -> DataFrame:
             "ignoreLeadingWhiteSpace", False
         ).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{table}.csv")
     loaded = scan_csv_tables(x.spark, folder, target)
-    return _profiles({table: df.drop(SEQUENCE) for table, df in loaded.items()})
+    return _profiles({table: df.drop(*EXTRA) for table, df in loaded.items()})
 
 
 def _sql_table(x: Inputs) -> DataFrame:
@@ -202,11 +201,8 @@ def _clean_events_by_month(x: Inputs) -> str:
     return path
 
 
-def _pruned_scan(x: Inputs) -> DataFrame:
-    since = CFG.day(CFG.longest_window)
-    return scan_events(x.spark, _clean_events_by_month(x), since).select(
-        "event_id", "tenant_id", "event_name", "event_count"
-    )
+def _whole_scan(x: Inputs) -> DataFrame:
+    return scan_parquet(x.spark, _clean_events_by_month(x)).select(*x.clean.events.columns)
 
 
 def _parquet_round_trip(x: Inputs) -> DataFrame:
@@ -304,7 +300,7 @@ def queries() -> dict[str, Query]:
         # Scans and sinks
         "scan_csv_tables": _over(_csv_round_trip),
         "scan_sql_table": _over(_sql_table),
-        "scan_parquet": _over(_pruned_scan),
+        "scan_parquet": _over(_whole_scan),
         "scan_optional_parquet": _over(_optional_scan),
         "sink_parquet": _over(_parquet_round_trip),
         "sink_csv_report": _over(_csv_report),
@@ -353,6 +349,7 @@ def queries() -> dict[str, Query]:
         "mart_trial_funnel": _over(lambda x: x.funnel),
         "mart_trial_funnel_diagnostics": _over(lambda x: x.diagnostics),
         "mart_summary": _over(lambda x: marts.mart_summary(x.mart, CFG)),
+        "pipeline_summary": _over(lambda x: marts.mart_summary(x.mart, CFG)),
         # SQL over the raw tables
         "sql_tenant_health_summary": _over(
             lambda x: sql_scripts.sql_tenant_health_summary(x.spark, x.raw, CFG)

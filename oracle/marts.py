@@ -164,7 +164,7 @@ weekly AS (
 channel AS (
   SELECT acquisition_source, count(tenant_id) AS total_tenants,
          count(*) FILTER (churned) AS churned_tenants,
-         coalesce(sum(arr), 0) AS total_arr, avg(arr) AS avg_arr, avg(health_score) AS avg_health_score,
+         coalesce(sum(arr::DECIMAL(28,6))::DOUBLE, 0) AS total_arr, sum(arr::DECIMAL(28,6))::DOUBLE / count(arr) AS avg_arr, avg(health_score) AS avg_health_score,
          count(*) FILTER (expansion_candidate) AS expansion_candidates,
          count(*) FILTER (health_tier = 'Healthy') AS healthy_count,
          count(*) FILTER (health_tier = 'At Risk') AS at_risk_count,
@@ -203,7 +203,7 @@ diagnostics AS (
          count(*) FILTER (pov_started) AS pov_started,
          count(*) FILTER (NOT churned) AS retained_paid,
          count(*) FILTER (health_tier IN ('Healthy', 'Neutral')) AS healthy_retained,
-         avg(health_score) AS avg_health_score, avg(arr) AS avg_arr,
+         avg(health_score) AS avg_health_score, sum(arr::DECIMAL(28,6))::DOUBLE / count(arr) AS avg_arr,
          count(*) FILTER (NOT churned) / greatest(count(tenant_id), 1) AS retained_paid_rate,
          count(*) FILTER (health_tier IN ('Healthy', 'Neutral')) / greatest(count(tenant_id), 1)
            AS healthy_retained_rate
@@ -220,9 +220,9 @@ def with_mart(query: str) -> str:
 
 
 def rounded(query: str, *columns: str) -> str:
-    """Six decimals, money four: the order of a floating-point sum differs between engines."""
-    replaced = ", ".join(f"round({c}, {4 if 'arr' in c.split('_') else 6}) AS {c}" for c in columns)
-    return f"SELECT * REPLACE ({replaced}) FROM ({query})"
+    """Six decimals: the order of a floating-point sum differs between engines. Money is exact."""
+    replaced = ", ".join(f"round({c}, 6) AS {c}" for c in columns if "arr" not in c.split("_"))
+    return f"SELECT * REPLACE ({replaced}) FROM ({query})" if replaced else query
 
 
 SCORES = ["score_active_users", "score_event_volume", "score_hv_share", "score_trend", "score_cs_touch"]
@@ -275,7 +275,7 @@ QUERIES = {
         rounded(
             """SELECT count(*) AS total_tenants, count(*) FILTER (churned) AS churned_tenants,
        count(*) FILTER (churned) / count(*) AS churn_rate,
-       coalesce(sum(arr) FILTER (NOT churned), 0) AS active_arr,
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER (NOT churned))::DOUBLE, 0) AS active_arr,
        count(*) FILTER (health_tier = 'Healthy') AS tier_healthy,
        count(*) FILTER (health_tier = 'Neutral') AS tier_neutral,
        count(*) FILTER (health_tier = 'At Risk') AS tier_at_risk,
@@ -325,7 +325,7 @@ LEFT JOIN (SELECT tenant_id, max(activity_date) AS last_cs_touch_date
         """SELECT cc.acquisition_source, count(*) AS total_tenants,
        CAST(sum(CASE WHEN s.churned = 1 THEN 1 ELSE 0 END) AS BIGINT) AS churned_tenants,
        round(sum(CASE WHEN s.churned = 1 THEN 1 ELSE 0 END) / count(*), 4) AS churn_rate,
-       round(avg(s.arr), 2) AS avg_arr, round(sum(s.arr), 2) AS total_arr,
+       round(sum(s.arr::DECIMAL(28,6))::DOUBLE / count(s.arr), 2) AS avg_arr, round(sum(s.arr::DECIMAL(28,6))::DOUBLE, 2) AS total_arr,
        CAST(sum(CASE WHEN cc.lifecycle_stage = 'active' AND s.churned = 0 THEN 1 ELSE 0 END) AS BIGINT)
          AS active_healthy_count
 FROM raw_tenants t
@@ -360,3 +360,5 @@ LEFT JOIN (SELECT tenant_id, max(activity_date)::DATE AS d FROM raw_crm_activiti
 WHERE s.churned = 1 OR coalesce(e.n, 0) < 10 OR lc.d IS NULL OR {DAY} - lc.d > 60"""
     ),
 }
+
+QUERIES["pipeline_summary"] = QUERIES["mart_summary"]

@@ -124,8 +124,8 @@ FROM eval, (SELECT unnest(range(5)) AS fold) f GROUP BY label, f.fold"""
     "confusion_matrix": with_eval("SELECT tn, fp, fn, tp FROM cells"),
     "arr_by_outcome": with_eval(
         rounded(
-            """SELECT coalesce(sum(arr) FILTER (flag = 1 AND label = 1), 0) AS arr_correctly_flagged,
-       coalesce(sum(arr) FILTER (flag = 0 AND label = 1), 0) AS arr_missed FROM marked""",
+            """SELECT coalesce((sum(arr::DECIMAL(28,6)) FILTER (flag = 1 AND label = 1))::DOUBLE, 0) AS arr_correctly_flagged,
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER (flag = 0 AND label = 1))::DOUBLE, 0) AS arr_missed FROM marked""",
             "arr_correctly_flagged",
             "arr_missed",
         )

@@ -7,7 +7,11 @@ TIER_ORDER = (
     "WHEN 'Red Alert' THEN 4 WHEN 'Churned' THEN 5 END"
 )
 DANGER = "health_tier IN ('At Risk', 'Red Alert')"
-TITLE = "upper(acquisition_source[1]) || lower(acquisition_source[2:])"
+# Capitals after anything that is no letter.
+TITLE = (
+    "array_to_string(list_transform(regexp_extract_all(lower(acquisition_source), '\\p{L}+|\\P{L}+'), "
+    "lambda p: upper(p[1]) || p[2:]), '')"
+)
 WHOLE_ARR = "CAST(round_even(arr, 0) AS BIGINT) AS arr"
 
 # Predictions from a score both engines can compute: the lower the health, the higher the risk.
@@ -32,7 +36,7 @@ def with_predictions(query: str) -> str:
 def _active_arr(dimension: str) -> str:
     return with_mart(
         rounded(
-            f"SELECT {dimension}, coalesce(sum(arr), 0) AS arr FROM mart "
+            f"SELECT {dimension}, coalesce(sum(arr::DECIMAL(28,6))::DOUBLE, 0) AS arr FROM mart "
             f"WHERE NOT churned AND {dimension} IS NOT NULL GROUP BY 1",
             "arr",
         )
@@ -67,9 +71,9 @@ WHERE plan IN ('starter', 'business') AND region IN ('ASIA', 'EUROPE')
     "exec_kpis": with_mart(
         rounded(
             f"""SELECT count(*) FILTER (NOT churned) AS active_tenants,
-       coalesce(sum(arr) FILTER (NOT churned), 0) AS active_arr,
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER (NOT churned))::DOUBLE, 0) AS active_arr,
        count(*) FILTER (churned) / count(*) AS churn_rate,
-       coalesce(sum(arr) FILTER ({DANGER}), 0) AS arr_at_risk FROM mart""",
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER ({DANGER}))::DOUBLE, 0) AS arr_at_risk FROM mart""",
             "active_arr",
             "churn_rate",
             "arr_at_risk",
@@ -85,7 +89,7 @@ FROM mart GROUP BY health_tier""",
     ),
     "arr_by_tier": with_mart(
         rounded(
-            f"SELECT health_tier, coalesce(sum(arr), 0) AS arr, {TIER_ORDER} AS tier_order "
+            f"SELECT health_tier, coalesce(sum(arr::DECIMAL(28,6))::DOUBLE, 0) AS arr, {TIER_ORDER} AS tier_order "
             "FROM mart GROUP BY health_tier",
             "arr",
         )
@@ -97,7 +101,7 @@ FROM mart GROUP BY health_tier""",
             f"""SELECT count(*) FILTER (cs_blind_spot) AS blind_spots,
        count(*) FILTER (expansion_candidate) AS expansion_candidates,
        count(*) FILTER (NOT churned AND {DANGER}) AS at_risk_tenants,
-       coalesce(sum(arr) FILTER (NOT churned AND {DANGER}), 0) AS at_risk_arr FROM mart""",
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER (NOT churned AND {DANGER}))::DOUBLE, 0) AS at_risk_arr FROM mart""",
             "at_risk_arr",
         )
     ),
@@ -130,7 +134,7 @@ FROM mart WHERE NOT churned"""
     "at_risk_kpis": with_mart(
         rounded(
             f"""SELECT count(*) FILTER (NOT churned AND {DANGER}) AS at_risk_tenants,
-       coalesce(sum(arr) FILTER (NOT churned AND {DANGER}), 0) AS arr_at_risk,
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER (NOT churned AND {DANGER}))::DOUBLE, 0) AS arr_at_risk,
        (SELECT count(*) FROM renewals) AS renewals FROM mart""",
             "arr_at_risk",
         )
@@ -282,7 +286,7 @@ FROM diagnostics GROUP BY region""",
     "churn_kpis": with_predictions(
         rounded(
             """SELECT count(*) FILTER (churn_flag = 1) AS high_risk_tenants,
-       coalesce(sum(arr) FILTER (churn_flag = 1), 0) AS high_risk_arr,
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER (churn_flag = 1))::DOUBLE, 0) AS high_risk_arr,
        avg(churn_probability) AS avg_probability FROM flagged WHERE NOT churned""",
             "high_risk_arr",
             "avg_probability",
@@ -319,7 +323,7 @@ FROM flagged f LEFT JOIN mart m USING (tenant_id) WHERE f.churn_flag = 1""",
     "high_risk_summary": with_predictions(
         rounded(
             """SELECT count(*) FILTER (churn_flag = 1) AS flagged_tenants,
-       coalesce(sum(arr) FILTER (churn_flag = 1), 0) AS arr_at_risk FROM predictions""",
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER (churn_flag = 1))::DOUBLE, 0) AS arr_at_risk FROM predictions""",
             "arr_at_risk",
         )
     ),

@@ -41,7 +41,7 @@ raw_tenants AS (
          s.s_name AS csm_assigned,
          q.seq AS ingest_seq
   FROM tenant_accounts a
-  JOIN supplier s ON s.s_suppkey = a.tn % 10
+  LEFT JOIN supplier s ON s.s_suppkey = a.tn % (SELECT max(s_suppkey) + 1 FROM supplier)
   JOIN (VALUES (0), (1)) q(seq) ON q.seq = 0 OR a.tn % 50 = 0
 ),
 raw_subscriptions AS (
@@ -88,8 +88,8 @@ raw_events AS (
 raw_crm_companies AS (
   SELECT 'crm_' || tn AS company_id,
          'ten_' || tn AS tenant_id,
-         CASE tn % 4 WHEN 0 THEN 'Onboarding ' WHEN 1 THEN 'active' WHEN 2 THEN 'At-Risk'
-                     ELSE 'churned' END AS lifecycle_stage,
+         CASE WHEN tn % 7 < 5 AND 'ten_' || tn IN (SELECT tenant_id FROM raw_subscriptions WHERE churned = 1) THEN 'churned'
+              WHEN tn % 3 = 0 THEN 'Onboarding ' WHEN tn % 3 = 1 THEN 'active' ELSE 'At-Risk' END AS lifecycle_stage,
          CASE (tn // 3) % 6 WHEN 0 THEN 'Inbound' WHEN 1 THEN 'outbound ' WHEN 2 THEN 'partner'
                             WHEN 3 THEN 'trial' WHEN 4 THEN 'referral' END AS acquisition_source,
          (tn % 10 < 7)::INTEGER AS pov_started,
@@ -246,8 +246,16 @@ def with_clean(query: str) -> str:
     return f"WITH {RAW},{CLEAN}\n{query}"
 
 
+def _row_text(columns: str) -> str:
+    return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in columns.split())
+
+
 def _profile(prefix: str, table: str, columns: str) -> str:
-    return " UNION ALL ".join(
+    checksum = f"CAST(sum(('0x' || substr(md5({_row_text(columns)}), 1, 15))::BIGINT) AS VARCHAR)"
+    return (
+        f"SELECT '{table}' AS table_name, '*' AS column_name, count(*) AS n_rows, count(*) AS n_present, "
+        f"{checksum} AS smallest, {checksum} AS largest FROM {prefix}{table} UNION ALL "
+    ) + " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_present, "
         f"min(CAST({c} AS VARCHAR)) AS smallest, max(CAST({c} AS VARCHAR)) AS largest FROM {prefix}{table}"
         for c in columns.split()
@@ -266,10 +274,7 @@ CLEAN_COLUMNS = {
 QUERIES = {
     "scan_csv_tables": with_raw(" UNION ALL ".join(_profile("raw_", t, c) for t, c in RAW_COLUMNS.items())),
     "scan_sql_table": with_raw(f"SELECT {', '.join(RAW_COLUMNS['events'].split())} FROM raw_events"),
-    "scan_parquet": with_clean(
-        "SELECT event_id, tenant_id, event_name, event_count FROM clean_events "
-        "WHERE event_time >= TIMESTAMP '2024-04-01'"
-    ),
+    "scan_parquet": with_clean("SELECT * FROM clean_events"),
     "sink_parquet": with_clean(" UNION ALL ".join(_profile("clean_", t, c) for t, c in CLEAN_COLUMNS.items())),
     "sink_csv_report": with_clean(f"SELECT * FROM ({NULL_LINES} UNION ALL {RULE_LINES}) WHERE affected_rows > 0"),
     "dq_null_summary": with_raw(f"SELECT * FROM ({NULL_LINES}) WHERE affected_rows > 0"),

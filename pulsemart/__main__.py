@@ -27,7 +27,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     if args.job in ("clean", "all"):
-        jobs.clean_job(scan_csv_tables(spark, args.csv), args.out)
+        raw = scan_csv_tables(spark, args.csv, target=f"{args.out.rstrip('/')}/raw", skip_existing=False)
+        jobs.clean_job(raw, args.out)
     if args.job in ("marts", "all"):
         jobs.mart_job(spark, args.out)
     if args.job in ("model", "all"):

@@ -5,12 +5,15 @@ from pulsemart.functions.columns import (
     flag,
     instant_literal,
     is_not_in,
+    money_avg,
+    money_sum,
     percent_text,
     ratio_or_zero,
     sql_text,
     steps,
     tidy,
     tier_rank,
+    title,
     to_day,
     to_instant,
     week_key,
@@ -25,12 +28,15 @@ __all__ = [
     "flag",
     "instant_literal",
     "is_not_in",
+    "money_avg",
+    "money_sum",
     "percent_text",
     "ratio_or_zero",
     "sql_text",
     "steps",
     "tidy",
     "tier_rank",
+    "title",
     "to_day",
     "to_instant",
     "week_key",

@@ -88,6 +88,23 @@ def tier_rank(c: Column, tiers: Sequence[str]) -> Column:
     return out
 
 
+def money_sum(c: Column) -> Column:
+    """Exact whatever the order of the rows: added up as decimals, to the sixth place. 0 for no rows."""
+    return F.coalesce(F.sum(c.cast("decimal(28,6)")).cast("double"), F.lit(0.0))
+
+
+def money_avg(c: Column) -> Column:
+    """NULL for no values."""
+    return F.try_divide(F.sum(c.cast("decimal(28,6)")).cast("double"), F.count(c))
+
+
+def title(c: Column) -> Column:
+    """Every run of letters starts with a capital and goes on in lower case: self-serve -> Self-Serve."""
+    starts = F.regexp_replace(F.lower(c), r"(\p{L}+)", "\x00$1")
+    parts = F.split(starts, "\x00")
+    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 1 << 30))), "")
+
+
 def percent_text(c: Column) -> Column:
     """0.1234 -> '12.3%'."""
     return F.concat(F.bround(c * F.lit(100.0), 1).cast("string"), F.lit("%"))

@@ -15,7 +15,7 @@ from pulsemart.ml import training
 from pulsemart.operators.cleaning import CLEANERS, clean_events
 from pulsemart.operators.quality import dq_report
 from pulsemart.plans import marts
-from pulsemart.session import size_shuffles
+from pulsemart.session import temporary_tables
 from pulsemart.sources import (
     scan_events,
     scan_optional_csv,
@@ -67,7 +67,6 @@ def clean_tables(spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig
 
 def mart_job(spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig()) -> None:
     """The health mart is written first; four of the others are read from it."""
-    size_shuffles(spark, [clean_path(out, t) for t in CLEANERS])
     tables = clean_tables(spark, out, cfg)
     sink_parquet(marts.mart_tenant_health(tables, cfg), mart_path(out, "mart_tenant_health"))
     sink_parquet(marts.mart_weekly_activity(tables, cfg), mart_path(out, "mart_weekly_activity"))
@@ -86,18 +85,19 @@ def model_job(
     cfg: HealthConfig = HealthConfig(),
     params: training.TreeParams = training.TreeParams(),
 ) -> None:
-    health = scan_parquet(spark, mart_path(out, "mart_tenant_health"))
-    data = training.training_set(health, cfg)
-    validation = training.cross_validate_churn(data, cfg, params)
-    model = training.train_churn_model(data, params)
-    sink_parquet(training.churn_predictions(model, data, cfg), mart_path(out, "churn_predictions"))
-    sink_csv_report(
-        training.feature_importance(model, data.names, spark), mart_path(out, "feature_importance")
-    )
-    sink_csv_report(
-        training.model_metrics(model, data, validation, cfg), mart_path(out, "churn_model_metrics")
-    )
-    training.save_model(model, mart_path(out, "churn_model"))
+    with temporary_tables():
+        health = scan_parquet(spark, mart_path(out, "mart_tenant_health"))
+        data = training.training_set(health, cfg)
+        validation = training.cross_validate_churn(data, cfg, params)
+        model = training.train_churn_model(data, params)
+        sink_parquet(training.churn_predictions(model, data, cfg), mart_path(out, "churn_predictions"))
+        sink_csv_report(
+            training.feature_importance(model, data.names, spark), mart_path(out, "feature_importance")
+        )
+        sink_csv_report(
+            training.model_metrics(model, data, validation, cfg), mart_path(out, "churn_model_metrics")
+        )
+        training.save_model(model, mart_path(out, "churn_model"))
 
 
 def report_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +43,6 @@ BASE_FEATURES = (
     "score_cs_touch",
 )
 LEAKY_FEATURES = ("lifecycle_encoded",)
-MAX_CATEGORIES = 1000
 
 
 def _code(column: str, codes, default: int) -> Column:
@@ -69,20 +68,13 @@ def churn_features(mart: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataF
 
 
 def categories(mart: DataFrame) -> list[tuple[str, str]]:
-    """(prefix, value) pairs present in the data, sorted within each prefix.
-
-    They become columns, so the driver has to know them; more than
-    ``MAX_CATEGORIES`` is an error, not a truncation.
-    """
+    """(prefix, value) pairs present in the data, sorted within each prefix: the names of the model's features."""
     found = (
         mart.select(*[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(p) for p, c in ONE_HOT.items()])
         .unpivot([], list(ONE_HOT), "prefix", "value")
         .distinct()
-        .limit(MAX_CATEGORIES + 1)
         .collect()
     )
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories in {sorted(ONE_HOT.values())}")
     order = list(ONE_HOT)
     return sorted(((r.prefix, r.value) for r in found), key=lambda pair: (order.index(pair[0]), pair[1]))
 
@@ -107,10 +99,26 @@ def feature_selection(
 ) -> DataFrame:
     """Add the ``features`` vector in the order of `feature_names`; NULL counts as 0.
 
-    Built from expressions rather than by column name: category values may hold
-    characters that column references treat specially.
+    Categories are looked up by index and stored sparsely, so a row's size and the plan do
+    not grow with their number.
     """
     leaky = LEAKY_FEATURES if include_leaky else ()
-    numbers = [F.col(c) for c in (*BASE_FEATURES, *leaky)] + [one_hot(p, v) for p, v in pairs]
-    filled = [F.coalesce(n.cast("double"), F.lit(0.0)) for n in numbers]
-    return features.withColumn("features", array_to_vector(F.array(*filled)))
+    numbers = [*BASE_FEATURES, *leaky]
+    filled = features.select(
+        "*",
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_number_{c}") for c in numbers],
+        *[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(f"_category_{p}") for p, c in ONE_HOT.items()],
+    )
+    # A value outside ``pairs`` has an index of its own, the last, which the encoder leaves out.
+    shown = [p for p in ONE_HOT if any(p == prefix for prefix, _ in pairs)]
+    columns = [f"_number_{c}" for c in numbers]
+    if shown:
+        indexes, vectors = ([f"_{kind}_{p}" for p in shown] for kind in ("index", "vector"))
+        for p, index in zip(shown, indexes):
+            labels = [v for prefix, v in pairs if prefix == p]
+            indexer = StringIndexerModel.from_labels(labels, f"_category_{p}", index)
+            filled = indexer.setHandleInvalid("keep").transform(filled)
+        filled = OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=True).fit(filled).transform(filled)
+        columns += vectors
+    assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(filled)
+    return assembled.select(*features.columns, "features")

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pulsemart.functions import money_sum
 from pulsemart.operators.ranking import running_totals
-from pulsemart.session import cut_lineage
 
 
 def class_balance(scored: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def confusion_matrix(scored: DataFrame, threshold: float = 0.35) -> DataFrame:
 
 def _outcome_money(threshold: float) -> list[Column]:
     def money(predicted: int) -> Column:
-        return F.coalesce(F.sum(F.when(_outcome(predicted, 1, threshold), F.col("arr"))), F.lit(0.0))
+        return money_sum(F.when(_outcome(predicted, 1, threshold), F.col("arr")))
 
     return [money(1).alias("arr_correctly_flagged"), money(0).alias("arr_missed")]
 
@@ -109,16 +109,16 @@ def _per_score(scored: DataFrame) -> DataFrame:
     )
 
 
-def threshold_counts(scored: DataFrame, ranges: int = 64) -> DataFrame:
+def threshold_counts(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     """Per distinct score: rows of each class at it (``pos``, ``neg``), at or above it
     (``cum_*``) and altogether (``all_*``).
 
-    The per-score totals are read several times, so they are written down first.
+    Nothing runs before the result is asked for.
     """
-    return running_totals(cut_lineage(_per_score(scored)), "score", ["pos", "neg"], ranges)
+    return running_totals(_per_score(scored), "score", ["pos", "neg"], ranges)
 
 
-def roc_curve(scored: DataFrame, ranges: int = 64) -> DataFrame:
+def roc_curve(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     """A point per distinct score plus the origin, whose threshold is infinite."""
     points = threshold_counts(scored, ranges).select(
         F.col("score").alias("threshold"),
@@ -131,7 +131,7 @@ def roc_curve(scored: DataFrame, ranges: int = 64) -> DataFrame:
     return points.unionByName(origin).orderBy(F.col("threshold").desc())
 
 
-def pr_curve(scored: DataFrame, ranges: int = 64) -> DataFrame:
+def pr_curve(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     """A point per distinct score plus (recall 0, precision 1)."""
     points = threshold_counts(scored, ranges).select(
         F.col("score").alias("threshold"),
@@ -155,17 +155,17 @@ def _average_precision() -> Column:
     return F.try_divide(F.sum(F.col("pos") * precision), F.max("all_pos"))
 
 
-def roc_auc(scored: DataFrame, ranges: int = 64) -> DataFrame:
+def roc_auc(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     curve = threshold_counts(scored, ranges)
     return curve.agg(_area().alias("roc_auc"))
 
 
-def average_precision(scored: DataFrame, ranges: int = 64) -> DataFrame:
+def average_precision(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     curve = threshold_counts(scored, ranges)
     return curve.agg(_average_precision().alias("average_precision"))
 
 
-def ranking_quality(scored: DataFrame, ranges: int = 64) -> DataFrame:
+def ranking_quality(scored: DataFrame, ranges: int | None = None) -> DataFrame:
     """Both areas from one pass over the curve."""
     curve = threshold_counts(scored, ranges)
     return curve.agg(

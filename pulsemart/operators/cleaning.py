@@ -4,22 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from pulsemart.config import EMPLOYEE_SIZES, VALID_ROLES, HealthConfig
 from pulsemart.functions import flag, is_not_in, tidy, tier_rank, to_day, to_instant
-from pulsemart.sources.schemas import SEQUENCE
+from pulsemart.sources.schemas import EXTRA, SEQUENCE
 
 
 def first_per_tenant(raw: DataFrame) -> DataFrame:
     """The first row of every tenant_id, with the number of rows it had.
 
-    ``min`` over a struct is combined before the shuffle, so an id that holds a
-    large part of the rows costs one row per task; a ranking window would sort
-    all of its copies in one task. Without an ``ingest_seq`` column "first" is
-    the smallest row.
+    With a numeric ``ingest_seq``, which is distinct within an id, only that number is
+    aggregated, by hash, and the row is fetched by it. A position of several parts, or
+    none ("first" is then the smallest row), needs whole rows compared. Either way rows
+    are combined before the shuffle, so an id that holds a large part of them costs one
+    row per task, where a ranking window would sort all its copies in one task.
     """
-    others = [c for c in raw.columns if c not in ("tenant_id", SEQUENCE)]
-    order = [SEQUENCE] if SEQUENCE in raw.columns else []
+    others = [c for c in raw.columns if c not in ("tenant_id", *EXTRA)]
+    kind = raw.schema[SEQUENCE].dataType if SEQUENCE in raw.columns else None
+    if isinstance(kind, NumericType):
+        first = raw.groupBy(F.col("tenant_id").alias("first_id")).agg(
+            F.min(SEQUENCE).alias("first_seq"), F.count("*").alias("copies")
+        )
+        same = F.col("tenant_id").eqNullSafe(F.col("first_id")) & F.col(SEQUENCE).eqNullSafe(F.col("first_seq"))
+        return raw.join(first, same).select("tenant_id", *others, "copies")
+    order = [SEQUENCE] if kind is not None else []
     return (
         raw.groupBy("tenant_id")
         .agg(F.min(F.struct(*order, *others)).alias("row"), F.count("*").alias("copies"))

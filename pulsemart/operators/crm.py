@@ -46,15 +46,16 @@ def cs_blind_spots(
 ) -> DataFrame:
     """Churned tenants without any CRM activity in the 60 days up to their churn date.
 
-    Activities are first reduced to one row per tenant and day, before any
-    shuffle, so a tenant that owns a third of them meets the join with no more
-    rows than the calendar has days.
+    Activities are first reduced to churned tenants, then to one row per tenant
+    and day, before the join, so a tenant that owns a third of them meets it with
+    no more rows than the calendar has days.
     """
     churned = subscriptions.where(F.col("churned") & F.col("churn_date").isNotNull()).select(
         "tenant_id", "churn_date"
     )
     touched = (
         activities.where(F.col("tenant_id").isNotNull() & F.col("activity_date").isNotNull())
+        .join(churned.select("tenant_id"), "tenant_id", "left_semi")
         .select(F.col("tenant_id").alias("touched_id"), "activity_date")
         .distinct()
     )

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pulsemart.config import EMPLOYEE_SIZES, VALID_ROLES
 from pulsemart.functions import flag, is_not_in, sql_text, tidy, to_day, to_instant
 from pulsemart.operators.cleaning import first_per_tenant
-from pulsemart.sources.schemas import SEQUENCE, TABLES
+from pulsemart.sources.schemas import EXTRA, MALFORMED, TABLES
 
-# Texts of the report.
+# Texts of the report, here and in the rules below.
 NULL_ISSUE = ("null values", "retained -- handled downstream")
 
 Check = tuple[str, str, str, Column]  # column, issue, action, counted expression
@@ -25,10 +25,17 @@ def _hits(condition: Column) -> Column:
 
 def null_checks(raw: DataFrame) -> list[Check]:
     return [
-        (c, *NULL_ISSUE, F.count_if(F.col(c).isNull())) for c in raw.columns if c != SEQUENCE
+        (c, *NULL_ISSUE, F.count_if(F.col(c).isNull())) for c in raw.columns if c not in EXTRA
     ]
 
 
+def format_checks(raw: DataFrame) -> list[Check]:
+    """Of tables read from CSV: rows that do not fit the header."""
+    if MALFORMED not in raw.columns:
+        return []
+    return [("*", "more or fewer values than columns", "retained -- missing values are null", _hits(F.col(MALFORMED)))]
+
+
 def rule_checks(table: str) -> list[Check]:
     """Row-level rules of a raw table; those of tenants look at ids, see `_tenant_rules`."""
     if table == "subscriptions":
@@ -135,14 +142,17 @@ def dq_rule_checks(raw: Mapping[str, DataFrame]) -> DataFrame:
             continue
         if table == "tenants":
             parts.append(_count(first_per_tenant(raw[table]), table, _tenant_rules()))
-        elif rule_checks(table):
-            parts.append(_count(raw[table], table, rule_checks(table)))
+        checks = format_checks(raw[table]) + rule_checks(table)
+        if checks:
+            parts.append(_count(raw[table], table, checks))
     return _union(parts)
 
 
 def dq_report(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Null and rule counts together: one scan per table, a second one for tenants."""
-    parts = [_count(raw[t], t, null_checks(raw[t]) + rule_checks(t)) for t in TABLES if t in raw]
+    parts = [
+        _count(raw[t], t, null_checks(raw[t]) + format_checks(raw[t]) + rule_checks(t)) for t in TABLES if t in raw
+    ]
     if "tenants" in raw:
         parts.append(_count(first_per_tenant(raw["tenants"]), "tenants", _tenant_rules()))
     return _union(parts).orderBy("table", "column", "issue")

@@ -14,21 +14,27 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def range_cuts(df: DataFrame, column: str, ranges: int = 64) -> list[float]:
-    """At most ``ranges - 1`` cut points that split the rows about evenly.
+def _tasks(df: DataFrame) -> int:
+    """As many ranges as shuffles have tasks, so that their number grows with the cluster's setting."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def range_cuts(df: DataFrame, column: str, ranges: int) -> Column:
+    """At most ``ranges - 1`` cut points that split the rows about evenly, as a subquery of the plan.
 
     They only balance the work: any cut points give the same, exact result.
     """
-    if ranges < 2:
-        return []
-    quantiles = df.stat.approxQuantile(column, [i / ranges for i in range(1, ranges)], 0.005)
-    return sorted(set(quantiles))
+    shares = [i / ranges for i in range(1, ranges)]
+    value = F.col(column).cast("double")
+    return df.select(F.array_distinct(F.percentile_approx(value, shares)).alias("cuts")).scalar()
 
 
-def _range_of(column: str, cuts: Sequence[float]) -> Column:
-    if not cuts:
+def _range_of(df: DataFrame, column: str, ranges: int) -> Column:
+    if ranges < 2:
         return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda cut: cut <= F.col(column)))
+    value = F.col(column).cast("double")
+    placed = F.sort_array(F.array_append(range_cuts(df, column, ranges), value))
+    return F.array_position(placed, value)
 
 
 def _with_offsets(
@@ -51,13 +57,13 @@ def _with_offsets(
     return df.join(F.broadcast(offsets), [*keys, "bucket"])
 
 
-def running_totals(df: DataFrame, order: str, sums: Sequence[str], ranges: int = 64) -> DataFrame:
+def running_totals(df: DataFrame, order: str, sums: Sequence[str], ranges: int | None = None) -> DataFrame:
     """``cum_<c>``: sum of ``c`` over all rows with ``order`` at or above this row's;
     ``all_<c>``: over all rows.
 
     ``order`` must be distinct per row, so no group of equal values can pile up.
     """
-    bucketed = df.withColumn("bucket", _range_of(order, range_cuts(df, order, ranges)))
+    bucketed = df.withColumn("bucket", _range_of(df, order, ranges or _tasks(df)))
     placed = _with_offsets(bucketed, [], F.col("bucket").desc(), {c: F.sum(c) for c in sums})
     inside = W.partitionBy("bucket").orderBy(F.col(order).desc()).rowsBetween(W.unboundedPreceding, 0)
     return placed.select(
@@ -67,13 +73,13 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], ranges: int =
     )
 
 
-def row_numbers(df: DataFrame, strata: str, hashed: str, buckets: int = 1024) -> DataFrame:
+def row_numbers(df: DataFrame, strata: str, hashed: str, buckets: int | None = None) -> DataFrame:
     """``row_number`` 1..n within each stratum, in the order of a hash column.
 
     Buckets are ranges of an evenly spread hash, so each holds 1/buckets of a
     stratum even when there are only two strata.
     """
-    bucketed = df.withColumn("bucket", F.pmod(F.col(hashed), F.lit(buckets)))
+    bucketed = df.withColumn("bucket", F.pmod(F.col(hashed), F.lit(buckets or _tasks(df))))
     placed = _with_offsets(bucketed, [strata], F.col("bucket"), {"rows": F.count("*")})
     inside = W.partitionBy(strata, "bucket").orderBy(hashed)
     number = F.col("rows_before") + F.row_number().over(inside)

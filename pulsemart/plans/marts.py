@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.config import HealthConfig
-from pulsemart.functions import day_literal, days_between
+from pulsemart.functions import day_literal, days_between, money_avg, money_sum
 from pulsemart.operators.cleaning import CLEANERS, clean_events
 from pulsemart.operators.crm import cs_blind_spots, crm_metrics
 from pulsemart.operators.scoring import COMPONENTS, expansion_candidate, health_components, health_score
@@ -164,8 +164,8 @@ def mart_channel_performance(mart: DataFrame) -> DataFrame:
         .agg(
             F.count("tenant_id").alias("total_tenants"),
             F.count_if("churned").alias("churned_tenants"),
-            F.coalesce(F.sum("arr"), F.lit(0.0)).alias("total_arr"),
-            F.avg("arr").alias("avg_arr"),
+            money_sum(F.col("arr")).alias("total_arr"),
+            money_avg(F.col("arr")).alias("avg_arr"),
             F.avg("health_score").alias("avg_health_score"),
             F.count_if("expansion_candidate").alias("expansion_candidates"),
             F.count_if(F.col("health_tier") == "Healthy").alias("healthy_count"),
@@ -267,7 +267,7 @@ def mart_trial_funnel_diagnostics(mart: DataFrame) -> DataFrame:
             F.count_if(~F.col("churned")).alias("retained_paid"),
             F.count_if(F.col("health_tier").isin(*HEALTHY_TIERS)).alias("healthy_retained"),
             F.avg("health_score").alias("avg_health_score"),
-            F.avg("arr").alias("avg_arr"),
+            money_avg(F.col("arr")).alias("avg_arr"),
         )
         .withColumn("retained_paid_rate", F.col("retained_paid") / accounts)
         .withColumn("healthy_retained_rate", F.col("healthy_retained") / accounts)
@@ -281,7 +281,7 @@ def mart_summary(mart: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataFra
     totals = mart.agg(
         F.count("*").alias("total_tenants"),
         F.count_if("churned").alias("churned_tenants"),
-        F.coalesce(F.sum(F.when(active, F.col("arr"))), F.lit(0.0)).alias("active_arr"),
+        money_sum(F.when(active, F.col("arr"))).alias("active_arr"),
         *[F.count_if(tier == t).alias(f"tier_{t.lower().replace(' ', '_')}") for t in cfg.tiers],
         F.count_if("expansion_candidate").alias("expansion_candidates"),
         F.count_if("cs_blind_spot").alias("cs_blind_spots"),

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pulsemart.config import TIERS
-from pulsemart.functions import tier_rank
+from pulsemart.functions import money_sum, tier_rank
 
 AT_RISK_TIERS = ("At Risk", "Red Alert")
 
@@ -19,7 +19,7 @@ def active(mart: DataFrame) -> DataFrame:
 
 
 def arr_where(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("arr"))), F.lit(0.0))
+    return money_sum(F.when(condition, F.col("arr")))
 
 
 def exec_kpis(mart: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def tier_distribution(mart: DataFrame, tiers: Sequence[str] = TIERS) -> DataFram
 def arr_by_tier(mart: DataFrame, tiers: Sequence[str] = TIERS) -> DataFrame:
     return (
         mart.groupBy("health_tier")
-        .agg(F.coalesce(F.sum("arr"), F.lit(0.0)).alias("arr"))
+        .agg(money_sum(F.col("arr")).alias("arr"))
         .withColumn("tier_order", tier_rank(F.col("health_tier"), tiers))
         .orderBy("tier_order")
     )
@@ -57,7 +57,7 @@ def _active_arr_by(mart: DataFrame, dimension: str) -> DataFrame:
         active(mart)
         .where(F.col(dimension).isNotNull())
         .groupBy(dimension)
-        .agg(F.coalesce(F.sum("arr"), F.lit(0.0)).alias("arr"))
+        .agg(money_sum(F.col("arr")).alias("arr"))
         .orderBy(F.col("arr").desc(), dimension)
     )
 

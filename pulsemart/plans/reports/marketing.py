@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pulsemart.functions import percent_text, whole
+from pulsemart.functions import percent_text, title, whole
 
 HIGH_CHURN = 0.25
 
@@ -24,7 +24,7 @@ def _first(metric: str, descending: bool) -> Column:
 
 def channel_best(channel: DataFrame) -> DataFrame:
     def name(metric: str, descending: bool) -> Column:
-        return F.initcap(_first(metric, descending)["acquisition_source"])
+        return title(_first(metric, descending)["acquisition_source"])
 
     return channel.agg(
         name("pct_healthy", True).alias("best_retention_channel"),
@@ -65,7 +65,7 @@ def channel_recommendation(channel: DataFrame) -> DataFrame:
                 *[
                     F.struct(
                         F.lit(action).alias("recommendation"),
-                        F.initcap(F.col(f"{action}.acquisition_source")).alias("channel"),
+                        title(F.col(f"{action}.acquisition_source")).alias("channel"),
                         F.col(f"{action}.pct_healthy").alias("pct_healthy"),
                         F.col(f"{action}.avg_arr").alias("avg_arr"),
                         F.col(f"{action}.churn_rate").alias("churn_rate"),

@@ -55,8 +55,8 @@ SELECT c.acquisition_source,
        count(*) AS total_tenants,
        count_if(s.churned = 1) AS churned_tenants,
        round(count_if(s.churned = 1) / count(*), 4) AS churn_rate,
-       round(avg(s.arr), 2) AS avg_arr,
-       round(sum(s.arr), 2) AS total_arr,
+       round(cast(sum(cast(s.arr AS DECIMAL(28, 6))) AS DOUBLE) / nullif(count(s.arr), 0), 2) AS avg_arr,
+       round(cast(sum(cast(s.arr AS DECIMAL(28, 6))) AS DOUBLE), 2) AS total_arr,
        count_if(c.lifecycle_stage = 'active' AND s.churned = 0) AS active_healthy_count
 FROM {tenants} t
 JOIN {crm_companies} c ON c.tenant_id = t.tenant_id AND c.acquisition_source IS NOT NULL

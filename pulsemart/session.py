@@ -4,14 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 
+# Tables written inside the open `temporary_tables` blocks.
+_scopes: list[list[str]] = []
+
+# Nothing here depends on the size of an input: shuffles start with as many partitions as the
+# cluster's owner has set (spark.sql.adaptive.coalescePartitions.initialPartitionNum, or
+# spark.sql.shuffle.partitions) and are merged at run time to the advisory size.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
 
@@ -32,36 +42,6 @@ def local_session(cores: str = "8", app: str = "pulsemart", **extra: str) -> Spa
     return session
 
 
-# A shuffle partition per gigabyte read: partial aggregation leaves far less than that
-# to shuffle. The cap bounds the number of shuffle blocks (map tasks x partitions).
-BYTES_PER_SHUFFLE_PARTITION = 1 << 30
-MOST_SHUFFLE_PARTITIONS = 20_000
-
-
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a file or folder, from the file system Spark itself uses; 0 if absent."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not file_system.exists(hadoop_path):
-        return 0
-    return file_system.getContentSummary(hadoop_path).getLength()
-
-
-def size_shuffles(
-    spark: SparkSession, paths: list[str], bytes_per_partition: int = BYTES_PER_SHUFFLE_PARTITION
-) -> int:
-    """Start shuffles with enough partitions for the input; AQE merges what turns out small.
-
-    The session's own setting is kept as the lower bound.
-    """
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = sum(stored_bytes(spark, path) for path in paths)
-    wanted = max(least, min(total // bytes_per_partition, MOST_SHUFFLE_PARTITIONS))
-    if wanted > least:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
-    return wanted
-
-
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, from ``spark.checkpoint.dir``.
 
@@ -81,15 +61,36 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_table_path(spark: SparkSession, name: str) -> str:
     """Fresh path below the shared folder, so no run overwrites another's tables."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables() -> Iterator[None]:
+    """Delete, at the end, the tables written through `new_table_path` inside this block.
+
+    For callers whose results are written out by then; elsewhere a lazy result may still
+    read them, and clearing old tables is left to the retention of the shared folder.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            system, place = FileSystem.from_uri(path)
+            if system.get_file_info(place).type == FileType.Directory:
+                system.delete_dir(place)
 
 
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and continue from there.
 
     The table outlives the executors that computed it, and its size is known to
-    the planner. Folders are unique per call; clearing old ones is left to the
-    retention of the shared folder.
+    the planner. Folders are unique per call; see `temporary_tables`.
     """
     path = new_table_path(df.sparkSession, name)
     df.write.parquet(path)

@@ -1,7 +1,6 @@
 from pulsemart.sources.readers import (
     scan_csv_tables,
     scan_events,
-    scan_jdbc_table,
     scan_optional_csv,
     scan_optional_parquet,
     scan_parquet,
@@ -12,7 +11,6 @@ from pulsemart.sources.sinks import sink_csv_report, sink_parquet
 __all__ = [
     "scan_csv_tables",
     "scan_events",
-    "scan_jdbc_table",
     "scan_optional_csv",
     "scan_optional_parquet",
     "scan_parquet",

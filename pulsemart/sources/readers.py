@@ -4,74 +4,105 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, IntegerType, LongType, StringType, StructField, StructType
 
 from pulsemart.functions import flag, instant_literal
-from pulsemart.sources.schemas import RAW_SCHEMAS, SEQUENCE, SEQUENCED, TABLES
+from pulsemart.sources.schemas import MALFORMED, RAW_SCHEMAS, SEQUENCE, SEQUENCED, TABLES, YES_NO
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Look through the file system Spark itself uses (HDFS, object store or local)."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return bool(hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path))
+    try:
+        spark.read.format("binaryFile").load(path).schema
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def _schema(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
-def _csv_schema(ddl: str) -> StructType:
-    """Yes/no columns are read as text, since exports write 0/1 as well as True/False."""
-    return StructType(
-        [
-            StructField(f.name, StringType() if isinstance(f.dataType, IntegerType) else f.dataType)
-            for f in _schema(ddl)
-        ]
-    )
+def _typed(name: str, kind: DataType) -> Column:
+    """Text to the declared type. Exporters write whole numbers as ``5.0`` where a column has
+    gaps; yes/no columns hold 0/1 or True/False. Other text is NULL."""
+    text = F.col(name)
+    if name in YES_NO:
+        return F.when(text.isNotNull(), flag(name).cast("int")).alias(name)
+    if isinstance(kind, (IntegerType, LongType)):
+        number = text.try_cast("double")
+        whole = F.when(number == F.floor(number), number).try_cast(kind)
+        return F.coalesce(text.try_cast(kind), whole).alias(name)
+    return text.try_cast(kind).alias(name)
+
+
+def csv_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names in the header; every file of a folder must have the same ones in the same order."""
+    return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
-def scan_csv_table(spark: SparkSession, table: str, path: str) -> DataFrame:
-    """One header CSV with its declared schema; 0/1 and True/False both become 0/1.
+def missing_columns(spark: SparkSession, table: str, path: str) -> list[str]:
+    there = set(csv_columns(spark, path))
+    return [f.name for f in _schema(RAW_SCHEMAS[table]) if f.name not in there]
 
-    Tenants also get their position, which follows the lines of a single file.
+
+def scan_csv_table(spark: SparkSession, table: str, path: str, multi_line: bool = True) -> DataFrame:
+    """One header CSV, or a folder of them, with the declared columns, found by name.
+
+    With ``multi_line`` a quoted value may hold line breaks; a file is then read by one
+    task, so large exports without such values are better read without it, in splits.
+    ``MALFORMED`` marks rows with more or fewer values than the header has names. Tenants
+    also get their position: file by file in the order of their names, and down the lines.
     """
-    declared = _schema(RAW_SCHEMAS[table])
+    names = csv_columns(spark, path)
+    corrupt = "_corrupt"
+    read_as = StructType([StructField(n, StringType()) for n in names] + [StructField(corrupt, StringType())])
     raw = (
-        spark.read.schema(_csv_schema(RAW_SCHEMAS[table]))
+        spark.read.schema(read_as)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("escape", '"')
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", corrupt)
         .csv(path)
     )
-    yes_no = {"churned", "is_active", "pov_started"}
-
-    def typed(field: StructField):
-        if field.name in yes_no:
-            value = F.when(F.col(field.name).isNotNull(), flag(field.name).cast("int"))
-        else:
-            value = F.col(field.name).try_cast(field.dataType)
-        return value.alias(field.name)
-
-    position = [F.monotonically_increasing_id().alias(SEQUENCE)] if table in SEQUENCED else []
-    return raw.select(*[typed(f) for f in declared], *position)
+    # The file's name goes before the task's numbering: Spark reads larger files first.
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    position = [place.alias(SEQUENCE)] if table in SEQUENCED else []
+    typed = [_typed(f.name, f.dataType) for f in _schema(RAW_SCHEMAS[table])]
+    return raw.select(*typed, F.col(corrupt).isNotNull().alias(MALFORMED), *position)
 
 
 def scan_csv_tables(
-    spark: SparkSession, folder: str, target: str | None = None, skip_existing: bool = True
+    spark: SparkSession,
+    folder: str,
+    target: str | None = None,
+    skip_existing: bool = True,
+    multi_line: bool = True,
 ) -> dict[str, DataFrame]:
     """The six source tables from ``folder/<table>.csv``.
 
-    All missing files are reported at once. With ``target`` the tables are also
-    written there as Parquet and read back; existing ones are kept, or replaced
-    when ``skip_existing`` is false.
+    All missing files and columns are reported at once. With ``target`` the tables are also
+    written there as Parquet and read back, so that every CSV is parsed once; existing ones
+    are kept, or replaced when ``skip_existing`` is false.
     """
     paths = {table: f"{folder.rstrip('/')}/{table}.csv" for table in TABLES}
     missing = [path for path in paths.values() if not path_exists(spark, path)]
+    for table, path in paths.items():
+        if path not in missing:
+            missing += [f"{path}: {column}" for column in missing_columns(spark, table, path)]
     if missing:
-        raise FileNotFoundError(f"missing CSV files: {missing}")
-    tables = {table: scan_csv_table(spark, table, path) for table, path in paths.items()}
+        raise FileNotFoundError(f"missing CSV files or columns: {missing}")
+    tables = {table: scan_csv_table(spark, table, path, multi_line) for table, path in paths.items()}
     if target is None:
         return tables
     out = {}
@@ -87,28 +118,6 @@ def scan_sql_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
 
-def scan_jdbc_table(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    partition_column: str | None = None,
-    lower: int | None = None,
-    upper: int | None = None,
-    partitions: int = 64,
-    **options: str,
-) -> DataFrame:
-    """Scan of an external database table, split over tasks by a numeric column."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
-    if partition_column is not None:
-        reader = reader.options(
-            partitionColumn=partition_column,
-            lowerBound=str(lower),
-            upperBound=str(upper),
-            numPartitions=str(partitions),
-        )
-    return reader.load()
-
-
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

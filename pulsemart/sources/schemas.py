@@ -40,6 +40,10 @@ TABLES = tuple(RAW_SCHEMAS)
 # Position of a row in its source, where "first" has a meaning: only tenants are deduplicated.
 SEQUENCE = "ingest_seq"
 SEQUENCED = ("tenants",)
+# Rows of a CSV with more or fewer values than its header has names.
+MALFORMED = "malformed_row"
+EXTRA = (SEQUENCE, MALFORMED)
+YES_NO = ("churned", "is_active", "pov_started")
 
 PREDICTIONS_SCHEMA = (
     "tenant_id STRING, company_name STRING, plan STRING, arr DOUBLE, churned BOOLEAN, "

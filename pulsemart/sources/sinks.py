@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 
 def sink_parquet(
-    df: DataFrame, path: str, by_month_of: str | None = None, rebalance: bool = False
+    df: DataFrame, path: str, by_month_of: str | None = None, in_time_order: bool = False
 ) -> None:
     """Replace the table at ``path``.
 
     ``by_month_of`` lays a time series out in month folders so that look-back
-    scans prune. Rows are written by the task that holds them, so a fact table
-    is not shuffled; a task leaves a file in each month it holds. For a history
-    of many months in random order ``rebalance`` shuffles once to avoid small
-    files: large months are split over several tasks, small ones share one.
+    scans prune. One shuffle brings the rows of a month together first: large
+    months are split over several tasks, small ones share one, so there are
+    about as many files as months or full-sized parts. Input known to be
+    ``in_time_order`` is written without it, a file per task and month it holds.
     """
     if by_month_of is None:
         df.write.mode("overwrite").parquet(path)
         return
     monthly = df.withColumn("event_month", F.date_format(F.col(by_month_of).cast("date"), "yyyy-MM"))
-    if rebalance:
+    if not in_time_order:
         monthly = monthly.hint("rebalance", "event_month")
     monthly.write.mode("overwrite").partitionBy("event_month").parquet(path)
 

@@ -1,5 +1,6 @@
 """Where intermediate tables go."""
 
+import os
 from types import SimpleNamespace
 
 import pytest
@@ -49,17 +50,11 @@ def test_cut_lineage_starts_a_new_plan(spark):
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, df.collect()))
 
 
-def test_shuffles_grow_with_the_input(spark, sf_dir):
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    path = f"{sf_dir}/orders.parquet"
-    size = session.stored_bytes(spark, path)
-    assert size > 100_000 and session.stored_bytes(spark, f"{path}-absent") == 0
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        assert session.size_shuffles(spark, [path]) == least
-        assert spark.conf.get(key, None) is None
-        assert session.size_shuffles(spark, [path], bytes_per_partition=10_000) == size // 10_000
-        assert int(spark.conf.get(key)) == size // 10_000
-        assert session.size_shuffles(spark, [path], bytes_per_partition=1) == session.MOST_SHUFFLE_PARTITIONS
-    finally:
-        spark.conf.unset(key)
+def test_temporary_tables_go_with_their_block(spark):
+    with session.temporary_tables():
+        inside = session.new_table_path(spark, "inside")
+        spark.range(3).write.parquet(inside)
+        assert spark.read.parquet(inside).count() == 3
+    outside = session.new_table_path(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    assert not os.path.exists(inside) and os.path.exists(outside)

@@ -14,7 +14,7 @@ from pulsemart.sources import (
     sink_csv_report,
     sink_parquet,
 )
-from pulsemart.sources.schemas import METRICS_SCHEMA, RAW_SCHEMAS, TABLES
+from pulsemart.sources.schemas import EXTRA, METRICS_SCHEMA, RAW_SCHEMAS, TABLES
 
 CSV = {
     "tenants": "tenant_id,company_name,plan,region,industry,employee_size,csm_assigned\nt,\"A, B\", Pro ,r,,1-50,m\n",
@@ -28,6 +28,7 @@ CSV = {
     "crm_activities": "activity_id,tenant_id,activity_type,activity_date,outcome,days_to_renewal\n"
     "a,t,call,2024-01-01,positive,-3\n",
 }
+HEADERS = {table: text.split("\n")[0] + "\n" for table, text in CSV.items()}
 
 
 @pytest.fixture
@@ -41,7 +42,7 @@ def test_csv_values(spark, folder):
     tables = scan_csv_tables(spark, folder)
     assert list(tables) == list(TABLES)
     for table, df in tables.items():
-        df = df.drop("ingest_seq")
+        df = df.drop(*EXTRA)
         assert df.schema.simpleString() == spark.createDataFrame([], RAW_SCHEMAS[table]).schema.simpleString()
     assert tables["tenants"].first()[:5] == ("t", "A, B", " Pro ", "r", None)
     assert [(r.arr, r.churned) for r in tables["subscriptions"].collect()] == [(10.5, 1), (None, 0)]
@@ -57,7 +58,7 @@ def test_first_line_of_a_tenant_wins(spark, folder):
     try:
         for key, value in small_splits.items():
             spark.conf.set(key, value)
-        tenants = scan_csv_tables(spark, folder)["tenants"]
+        tenants = scan_csv_tables(spark, folder, multi_line=False)["tenants"]
         assert tenants.rdd.getNumPartitions() > 4
         got = {r.tenant_id: r.company_name for r in cleaning.clean_tenants(tenants).collect()}
     finally:
@@ -106,18 +107,91 @@ def test_empty_report_has_a_header(spark, tmp_path):
     assert text.strip() == "table,column,issue,affected_rows,action"
 
 
-@pytest.mark.parametrize("rebalance", [False, True])
-def test_event_scan_reads_only_the_months_it_needs(spark, tmp_path, rebalance):
+@pytest.mark.parametrize("in_time_order", [False, True])
+def test_event_scan_reads_only_the_months_it_needs(spark, tmp_path, in_time_order):
     path = str(tmp_path / "events")
     rows = [(f"e{i}", "t", "u", "x", f"2024-{1 + i % 6:02d}-{1 + i % 28:02d}", 1, None) for i in range(200)]
     clean = cleaning.clean_events(spark.createDataFrame(rows, RAW_SCHEMAS["events"]).repartition(4))
-    sink_parquet(clean, path, by_month_of="event_time", rebalance=rebalance)
+    sink_parquet(clean, path, by_month_of="event_time", in_time_order=in_time_order)
     months = sorted(d for d in os.listdir(path) if d.startswith("event_month="))
     assert months == [f"event_month=2024-{m:02d}" for m in range(1, 7)]
     files = [len([f for f in os.listdir(f"{path}/{m}") if f.endswith(".parquet")]) for m in months]
-    assert files == [1] * 6 if rebalance else all(1 <= n <= 4 for n in files)
+    assert all(1 <= n <= 4 for n in files) if in_time_order else files == [1] * 6
 
     scan = scan_events(spark, path, date(2024, 4, 1))
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_month" in plan and "PushedFilters: [IsNotNull(event_time), Gr" in plan
     assert scan.count() == clean.where("event_time >= '2024-04-01'").count() > 0
+
+
+def csv_folder(tmp_path, **tables):
+    """The six tables with a header each; ``tables`` replaces a file, or a folder of part files, by name."""
+    for table, header in HEADERS.items():
+        content = tables.get(table, header)
+        place = tmp_path / f"{table}.csv"
+        if isinstance(content, dict):
+            place.mkdir()
+            for name, text in content.items():
+                (place / name).write_text(text)
+        else:
+            place.write_text(content)
+    return str(tmp_path)
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    swapped = (
+        "extra,company_name,tenant_id,csm_assigned,plan,region,industry,employee_size\n"
+        "x,Acme,t1,Sam,starter,EMEA,Tech,1-50\n"
+    )
+    row = scan_csv_tables(spark, csv_folder(tmp_path, tenants=swapped))["tenants"].first()
+    assert (row.tenant_id, row.company_name, row.csm_assigned, row.employee_size) == ("t1", "Acme", "Sam", "1-50")
+
+
+def test_missing_columns_are_named_together_with_missing_files(spark, tmp_path):
+    folder = csv_folder(tmp_path, users="user_id,tenant_id,role\n")
+    os.rename(f"{folder}/events.csv", f"{folder}/elsewhere.csv")
+    with pytest.raises(FileNotFoundError) as error:
+        scan_csv_tables(spark, folder)
+    for part in ("events.csv", "users.csv: registered_at", "users.csv: is_active"):
+        assert part in str(error.value)
+
+
+def test_quoted_line_breaks_stay_in_their_row(spark, tmp_path):
+    text = HEADERS["tenants"] + 't1,"Acme\nInc",starter,EMEA,Tech,1-50,"Sam ""S"""\nt2,B,starter,EMEA,Tech,1-50,Kim\n'
+    rows = scan_csv_tables(spark, csv_folder(tmp_path, tenants=text))["tenants"].orderBy("tenant_id").collect()
+    assert [(r.tenant_id, r.company_name, r.csm_assigned) for r in rows] == [("t1", "Acme\nInc", 'Sam "S"'), ("t2", "B", "Kim")]
+
+
+def test_whole_numbers_may_be_written_with_a_point(spark, tmp_path):
+    text = HEADERS["crm_activities"] + "".join(
+        f"a{i},t,call,2024-01-01,neutral,{v}\n" for i, v in enumerate(["-5.0", "3.0", "7", "2.5", "", "x", "1e2"])
+    )
+    rows = scan_csv_tables(spark, csv_folder(tmp_path, crm_activities=text))["crm_activities"].orderBy("activity_id").collect()
+    assert [r.days_to_renewal for r in rows] == [-5, 3, 7, None, None, None, 100]
+
+
+def test_first_of_duplicates_follows_file_names(spark, tmp_path):
+    line = "t1,{},starter,EMEA,Tech,1-50,Sam\n"
+    parts = {
+        "part-0.csv": HEADERS["tenants"] + line.format("FIRST"),
+        "part-1.csv": HEADERS["tenants"] + "".join(line.format(f"later {i}") for i in range(500)),
+        "part-2.csv": HEADERS["tenants"] + line.format("LAST"),
+    }
+    raw = scan_csv_tables(spark, csv_folder(tmp_path, tenants=parts))["tenants"]
+    assert [r.company_name for r in cleaning.clean_tenants(raw).collect()] == ["FIRST"]
+
+
+def test_malformed_rows_are_reported(spark, tmp_path):
+    text = HEADERS["users"] + "u1,t,admin,2024-01-01,2024-01-02,1\nu2,t,admin\nu3,t,admin,2024-01-01,2024-01-02,1,more,and more\n"
+    report = quality.dq_report(scan_csv_tables(spark, csv_folder(tmp_path, users=text)))
+    lines = {(r.table, r.issue): r.affected_rows for r in report.where("column = '*'").collect()}
+    assert lines == {("users", "more or fewer values than columns"): 2}
+
+
+def test_months_in_random_order_leave_few_files(spark, tmp_path):
+    path = str(tmp_path / "events")
+    rows = [(f"e{i}", "t", "u", "x", f"2024-{1 + i % 6:02d}-{1 + i % 28:02d}", 1, None) for i in range(10_000)]
+    clean = cleaning.clean_events(spark.createDataFrame(rows, RAW_SCHEMAS["events"]).repartition(40))
+    sink_parquet(clean, path, by_month_of="event_time")
+    files = [f for d in os.listdir(path) if d.startswith("event_month=") for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet")]
+    assert len(files) == 6
