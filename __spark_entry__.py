@@ -19,7 +19,7 @@ from oracle import model as oracle_model
 from oracle import reports as oracle_reports
 from oracle import tables as oracle_tables
 from pulsemart import HealthConfig
-from pulsemart.ml import features, metrics, training
+from pulsemart.ml import checks, features, metrics, training
 from pulsemart.operators import crm, quality, scoring, usage
 from pulsemart.operators.profile import column_profile
 from pulsemart.plans import marts, sql_scripts
@@ -33,6 +33,7 @@ from pulsemart.sources import (
     sink_csv_report,
     sink_parquet,
 )
+from pulsemart.sources.driver_tables import SCHEMAS as DRIVER_SCHEMAS
 from pulsemart.sources.driver_tables import RawTables
 from pulsemart.sources.schemas import EXTRA, METRICS_SCHEMA, PREDICTIONS_SCHEMA, SEQUENCE, TABLES
 
@@ -128,16 +129,20 @@ def predictions_from(mart: DataFrame) -> DataFrame:
 
 
 class Fitted:
-    """One training run per session and data directory, shared by the model queries."""
+    """One training run per session and state of the data, shared by the model queries."""
 
-    _runs: dict[tuple[str, str], "Fitted"] = {}
+    _runs: dict[tuple, "Fitted"] = {}
 
     def __init__(self, x: Inputs):
-        self.data = training.training_set(x.stored_mart, CFG)
+        self.mart = x.stored_mart
+        self.data = training.training_set(self.mart, CFG)
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Fitted":
-        key = (spark.sparkContext.applicationId, sf_dir)
+        """A run is used again only while the files it came from are the same."""
+        paths = [f"{sf_dir.rstrip('/')}/{table}.parquet" for table in DRIVER_SCHEMAS]
+        files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
+        key = (spark.sparkContext.applicationId, *sorted(map(tuple, files.collect())))
         if key not in cls._runs:
             cls._runs[key] = cls(Inputs(spark, sf_dir))
         return cls._runs[key]
@@ -255,15 +260,16 @@ def _fold_sizes(x: Inputs) -> DataFrame:
 def _model_shape(f: Fitted, spark: SparkSession) -> DataFrame:
     model = f.model
     return spark.createDataFrame(
-        [(model.getNumTrees, model.totalNumNodes, model.numFeatures)],
-        "trees INT, nodes INT, features INT",
+        [(model.getNumTrees, model.numFeatures, model.totalNumNodes >= model.getNumTrees)],
+        "trees INT, features INT, grown BOOLEAN",
     )
 
 
 def _stored_model(f: Fitted, spark: SparkSession) -> DataFrame:
     path = new_table_path(spark, "model")
     training.save_model(f.model, path)
-    return training.churn_predictions(training.load_model(path), f.data, CFG)
+    reloaded = training.churn_predictions(training.load_model(path), f.data, CFG)
+    return checks.checked_predictions(reloaded, CFG)
 
 
 def _metrics(f: Fitted) -> DataFrame:
@@ -274,7 +280,7 @@ def _metrics_summary(f: Fitted, spark: SparkSession) -> DataFrame:
     path = new_table_path(spark, "metrics")
     sink_csv_report(_metrics(f), path)
     stored = spark.read.schema(METRICS_SCHEMA).option("header", True).csv(path)
-    return churn.model_metrics_summary(stored)
+    return checks.checked_summary(churn.model_metrics_summary(stored))
 
 
 def _importance(f: Fitted, spark: SparkSession) -> DataFrame:
@@ -408,7 +414,7 @@ def queries() -> dict[str, Query]:
         ),
         "high_risk_summary": _over(lambda x: churn.high_risk_summary(x.predictions)),
         "feature_importance_topn": _with_model(
-            lambda f, spark: churn.feature_importance_topn(_importance(f, spark))
+            lambda f, spark: checks.checked_ranking(churn.feature_importance_topn(_importance(f, spark)))
         ),
         "model_metrics_summary": _with_model(_metrics_summary),
         # Model: features, training, evaluation
@@ -420,10 +426,12 @@ def queries() -> dict[str, Query]:
         "class_balance": _over(lambda x: metrics.class_balance(x.scored)),
         "stratified_folds": _over(_fold_sizes),
         "train_churn_model": _with_model(_model_shape),
-        "cross_validate_churn": _with_model(lambda f, spark: f.validation),
-        "leakage_check": _over(lambda x: training.leakage_check(x.stored_mart, CFG)),
+        "cross_validate_churn": _with_model(lambda f, spark: checks.checked_validation(f.validation)),
+        "leakage_check": _with_model(
+            lambda f, spark: checks.checked_leak(training.leakage_check(f.mart, CFG), f.validation)
+        ),
         "churn_predictions": _with_model(
-            lambda f, spark: training.churn_predictions(f.model, f.data, CFG)
+            lambda f, spark: checks.checked_predictions(training.churn_predictions(f.model, f.data, CFG), CFG)
         ),
         "confusion_matrix": _over(lambda x: metrics.confusion_matrix(x.scored, CFG.churn_threshold)),
         "arr_by_outcome": _over(lambda x: metrics.arr_by_outcome(x.scored, CFG.churn_threshold)),
@@ -434,14 +442,14 @@ def queries() -> dict[str, Query]:
         "roc_auc": _over(lambda x: metrics.roc_auc(x.scored)),
         "pr_curve": _over(lambda x: metrics.pr_curve(x.scored)),
         "average_precision": _over(lambda x: metrics.average_precision(x.scored)),
-        "feature_importance": _with_model(_importance),
-        "model_metrics": _with_model(lambda f, spark: _metrics(f)),
+        "feature_importance": _with_model(lambda f, spark: checks.checked_importance(_importance(f, spark))),
+        "model_metrics": _with_model(lambda f, spark: checks.checked_metrics(_metrics(f))),
         **LLM_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query; the model's own outputs have none."""
+    """DuckDB SQL per query; for outputs of the trained model, of what must hold for any learner."""
     return {
         **oracle_tables.QUERIES,
         **oracle_marts.QUERIES,

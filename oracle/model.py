@@ -152,3 +152,36 @@ FROM eval, (SELECT unnest(range(5)) AS fold) f GROUP BY label, f.fold"""
         )
     ),
 }
+
+# Outputs of the trained model: which rows and columns they have and what must hold for any learner.
+CARRIED = rounded(
+    """SELECT tenant_id, company_name, plan, arr, churned, renewal_date,
+       CAST(coalesce(renewal_date - DATE '2024-06-30', 999) AS INTEGER) AS days_to_renewal, health_score, health_tier,
+       true AS in_range, true AS flag_agrees FROM mart""",
+    "health_score",
+)
+NAMES = " UNION ".join(
+    [f"SELECT '{name}' AS feature" for name in BASE]
+    + [f"SELECT '{p}_' || coalesce({c}, 'unknown') FROM mart" for p, c in
+       (("src", "acquisition_source"), ("rgn", "region"), ("ind", "industry"))]
+)
+QUERIES |= {
+    "churn_predictions": with_mart(CARRIED),
+    "model_store": with_mart(CARRIED),
+    "feature_importance": with_mart(f"SELECT feature, true AS in_range, 1.0::DOUBLE AS total FROM ({NAMES})"),
+    "feature_importance_topn": with_mart(
+        f"SELECT CAST(row_number() OVER (ORDER BY feature) AS INTEGER) AS place, true AS falls FROM ({NAMES}) LIMIT 15"
+    ),
+    "train_churn_model": with_mart(
+        f"SELECT 300 AS trees, CAST(count(*) AS INTEGER) AS features, true AS grown FROM ({NAMES})"
+    ),
+    "cross_validate_churn": """SELECT unnest(['cv_roc_auc_mean', 'cv_roc_auc_std', 'cv_avg_precision_mean',
+       'cv_avg_precision_std']) AS figure, true AS in_range""",
+    "leakage_check": "SELECT true AS leak_shows, true AS in_range",
+    "model_metrics": with_mart(
+        """SELECT 'GBTClassifier' AS model, 0.35::DOUBLE AS decision_threshold,
+       count(*) FILTER (churned) AS churned, count(*) FILTER (NOT churned) AS active,
+       coalesce((sum(arr::DECIMAL(28,6)) FILTER (churned))::DOUBLE, 0) AS churned_arr, true AS in_range FROM mart"""
+    ),
+    "model_metrics_summary": "SELECT 0.35::DOUBLE AS decision_threshold, true AS in_range",
+}

@@ -7,35 +7,21 @@ from tests.compare import connect, duck_rows, spark_rows
 
 QUERIES = {k: v for k, v in entry.queries().items() if k not in entry.LLM_QUERIES}
 ORACLES = {k: v for k, v in entry.oracle_sql().items() if k not in entry.LLM_QUERIES}
-MODEL_QUERIES = set(QUERIES) - set(ORACLES)
-
-
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
 
 
-def test_only_model_outputs_have_no_oracle():
-    assert set(ORACLES) <= set(QUERIES)
-    assert MODEL_QUERIES == {
-        "model_store",
-        "train_churn_model",
-        "cross_validate_churn",
-        "leakage_check",
-        "churn_predictions",
-        "feature_importance",
-        "feature_importance_topn",
-        "model_metrics",
-        "model_metrics_summary",
-    }
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, sf_dir, con, name):
     df = QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "Expand"):
-        allowed = operator == "Expand" and name in EXPANDING
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "Expand", "SortAggregate"):
+        allowed = operator == "Expand" and name in EXPANDING or operator == "SortAggregate" and name in SORTING
         assert allowed or operator not in plan, f"{operator} in {name}"
     names, rows = spark_rows(df)
     expected_names, expected = duck_rows(con, ORACLES[name])
@@ -44,6 +30,12 @@ def test_matches_oracle(spark, sf_dir, con, name):
     assert rows
 
 
+# Smallest and largest texts have no hash aggregate: over columns for a profile, over a row per
+# channel, over a row per tenant.
+SORTING = {
+    "scan_csv_tables", "sink_parquet", "channel_best", "channel_recommendation", "sql_at_risk_tenants",
+    "sql_tenant_health_summary",
+}
 # Unpivoting is an Expand over a few columns; no query expands for distinct counts.
 EXPANDING = {"filter_options", "bottom_n_components", "funnel_by_plan", "one_hot_features", "feature_selection"}
 
