@@ -103,7 +103,7 @@ def new_pairs(codes: np.ndarray, owner: np.ndarray) -> np.ndarray:
     size = np.uint64(codes.max() + 2)
     before = np.concatenate([[-1], codes[:-1]])
     before[np.flatnonzero(np.diff(owner, prepend=-1))] = -1
-    pair = mixed((before + 1).astype(np.uint64) * size + codes.astype(np.uint64)) ^ mixed(owner.astype(np.uint64))
+    pair = mixed(mixed(owner.astype(np.uint64)) + (before + 1).astype(np.uint64) * size + codes.astype(np.uint64))
     new = np.zeros(len(codes), dtype=np.float32)
     new[np.unique(pair, return_index=True)[1]] = 1
     return new

@@ -43,7 +43,13 @@ class Words:
 
 
 def filled(texts: pa.Array) -> pa.Array:
-    return pc.fill_null(texts.cast(pa.large_string()), "")
+    """Without nulls, and with offsets from 0: a slice that is only cast keeps its offsets, and
+    `ascii_lower` then reads other bytes than its own."""
+    whole = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(whole.buffers()[1], dtype=np.int64) if len(whole) else np.zeros(1)
+    if whole.offset or offsets[0]:
+        whole = whole.take(pa.array(np.arange(len(whole))))
+    return whole
 
 
 def value_bytes(strings: pa.Array) -> bytes:
