@@ -58,6 +58,16 @@ FLAGSHIP_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_STORED: dict[tuple, DataFrame] = {}
+
+
+def data_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Changes with the session and with any file of the mapped tables."""
+    paths = [f"{sf_dir.rstrip('/')}/{table}.parquet" for table in DRIVER_SCHEMAS]
+    files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
+    return (spark.sparkContext.applicationId, *sorted(map(tuple, files.collect())))
+
+
 class Inputs:
     """Lazy tables over one data directory; a query touches only what it names."""
 
@@ -82,8 +92,11 @@ class Inputs:
 
     @cached_property
     def stored_mart(self) -> DataFrame:
-        """For queries that read the mart more than once: the fact tables are scanned only for the first."""
-        return cut_lineage(self.mart, "mart")
+        """Written once per session and state of the files, as the mart job does: its readers scan no fact table."""
+        key = data_state(self.spark, self.sf_dir)
+        if key not in _STORED:
+            _STORED[key] = cut_lineage(marts.mart_tenant_health(self.clean, CFG), "mart")
+        return _STORED[key]
 
     @cached_property
     def weekly(self) -> DataFrame:
@@ -118,6 +131,14 @@ class Inputs:
         )
 
 
+class Pages(Inputs):
+    """What report pages and the evaluation read: everything from the stored mart."""
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        return self.stored_mart
+
+
 def predictions_from(mart: DataFrame) -> DataFrame:
     """Predictions from a score SQL can compute too: the lower the health, the higher the risk."""
     risk = F.lit(1.0) - F.col("health_score") / 100
@@ -140,9 +161,7 @@ class Fitted:
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Fitted":
         """A run is used again only while the files it came from are the same."""
-        paths = [f"{sf_dir.rstrip('/')}/{table}.parquet" for table in DRIVER_SCHEMAS]
-        files = spark.read.format("binaryFile").load(paths).select("path", "modificationTime", "length")
-        key = (spark.sparkContext.applicationId, *sorted(map(tuple, files.collect())))
+        key = data_state(spark, sf_dir)
         if key not in cls._runs:
             cls._runs[key] = cls(Inputs(spark, sf_dir))
         return cls._runs[key]
@@ -172,6 +191,10 @@ def _over(build: Callable[[Inputs], DataFrame]) -> Query:
     return lambda spark, sf_dir: _stable(build(Inputs(spark, sf_dir)))
 
 
+def _page(build: Callable[[Inputs], DataFrame]) -> Query:
+    return lambda spark, sf_dir: _stable(build(Pages(spark, sf_dir)))
+
+
 def _with_model(build: Callable[[Fitted, SparkSession], DataFrame]) -> Query:
     return lambda spark, sf_dir: _stable(build(Fitted.of(spark, sf_dir), spark))
 
@@ -366,8 +389,8 @@ def queries() -> dict[str, Query]:
         ),
         "sql_at_risk_tenants": _over(lambda x: sql_scripts.sql_at_risk_tenants(x.spark, x.raw, CFG)),
         # Report pages
-        "filter_options": _over(lambda x: filters.filter_options(x.mart)),
-        "apply_filters": _over(
+        "filter_options": _page(lambda x: filters.filter_options(x.mart)),
+        "apply_filters": _page(
             lambda x: filters.apply_filters(
                 x.mart,
                 plans=["starter", "business"],
@@ -375,56 +398,56 @@ def queries() -> dict[str, Query]:
                 tiers=["Healthy", "Neutral", "At Risk"],
             ).select("tenant_id", "plan", "region", "csm_assigned", "health_tier")
         ),
-        "exec_kpis": _over(lambda x: executive.exec_kpis(x.mart)),
-        "tier_distribution": _over(lambda x: executive.tier_distribution(x.mart)),
-        "arr_by_tier": _over(lambda x: executive.arr_by_tier(x.mart)),
-        "arr_by_plan": _over(lambda x: executive.arr_by_plan(x.mart)),
-        "arr_by_region": _over(lambda x: executive.arr_by_region(x.mart)),
-        "exec_findings": _over(lambda x: executive.exec_findings(x.mart)),
-        "health_score_range": _over(lambda x: health.health_score_range(x.mart)),
-        "bottom_n_components": _over(lambda x: health.bottom_n_components(x.mart)),
-        "health_scorecard": _over(lambda x: health.health_scorecard(x.mart)),
-        "at_risk_kpis": _over(
+        "exec_kpis": _page(lambda x: executive.exec_kpis(x.mart)),
+        "tier_distribution": _page(lambda x: executive.tier_distribution(x.mart)),
+        "arr_by_tier": _page(lambda x: executive.arr_by_tier(x.mart)),
+        "arr_by_plan": _page(lambda x: executive.arr_by_plan(x.mart)),
+        "arr_by_region": _page(lambda x: executive.arr_by_region(x.mart)),
+        "exec_findings": _page(lambda x: executive.exec_findings(x.mart)),
+        "health_score_range": _page(lambda x: health.health_score_range(x.mart)),
+        "bottom_n_components": _page(lambda x: health.bottom_n_components(x.mart)),
+        "health_scorecard": _page(lambda x: health.health_scorecard(x.mart)),
+        "at_risk_kpis": _page(
             lambda x: renewals.at_risk_kpis(x.stored_mart, marts.mart_renewal_pipeline(x.stored_mart, CFG))
         ),
-        "at_risk_list": _over(lambda x: renewals.at_risk_list(x.mart)),
-        "renewal_table": _over(lambda x: renewals.renewal_table(x.renewals)),
-        "blind_spot_detail": _over(lambda x: renewals.blind_spot_detail(x.mart)),
-        "blind_spot_arr_lost": _over(lambda x: renewals.blind_spot_arr_lost(x.mart)),
-        "weekly_totals": _over(lambda x: trends.weekly_totals(x.weekly, x.mart)),
-        "weekly_by_plan": _over(lambda x: trends.weekly_by_plan(x.weekly, x.mart)),
-        "weekly_by_tier": _over(lambda x: trends.weekly_by_tier(x.weekly, x.mart)),
-        "declining_tenants": _over(lambda x: trends.declining_tenants(x.mart)),
-        "channel_best": _over(lambda x: marketing.channel_best(x.channel)),
-        "channel_rankings": _over(lambda x: marketing.channel_rankings(x.channel)),
-        "channel_matrix": _over(lambda x: marketing.channel_matrix(x.channel)),
-        "channel_recommendation": _over(lambda x: marketing.channel_recommendation(x.channel)),
-        "channel_detail_table": _over(lambda x: marketing.channel_detail_table(x.channel)),
-        "funnel_kpis": _over(lambda x: funnel.funnel_kpis(x.funnel)),
-        "funnel_biggest_drop": _over(lambda x: funnel.funnel_biggest_drop(x.funnel)),
-        "funnel_table": _over(lambda x: funnel.funnel_table(x.funnel)),
-        "funnel_by_plan": _over(lambda x: funnel.funnel_by_plan(x.diagnostics)),
-        "funnel_by_region": _over(lambda x: funnel.funnel_by_region(x.diagnostics)),
-        "churn_threshold_flags": _over(lambda x: churn.churn_threshold_flags(x.predictions)),
-        "churn_kpis": _over(lambda x: churn.churn_kpis(x.predictions)),
-        "churn_histogram": _over(lambda x: churn.churn_histogram(x.predictions)),
-        "churn_scatter": _over(lambda x: churn.churn_scatter(x.predictions)),
-        "churn_high_risk_table": _over(
+        "at_risk_list": _page(lambda x: renewals.at_risk_list(x.mart)),
+        "renewal_table": _page(lambda x: renewals.renewal_table(x.renewals)),
+        "blind_spot_detail": _page(lambda x: renewals.blind_spot_detail(x.mart)),
+        "blind_spot_arr_lost": _page(lambda x: renewals.blind_spot_arr_lost(x.mart)),
+        "weekly_totals": _page(lambda x: trends.weekly_totals(x.weekly, x.mart)),
+        "weekly_by_plan": _page(lambda x: trends.weekly_by_plan(x.weekly, x.mart)),
+        "weekly_by_tier": _page(lambda x: trends.weekly_by_tier(x.weekly, x.mart)),
+        "declining_tenants": _page(lambda x: trends.declining_tenants(x.mart)),
+        "channel_best": _page(lambda x: marketing.channel_best(x.channel)),
+        "channel_rankings": _page(lambda x: marketing.channel_rankings(x.channel)),
+        "channel_matrix": _page(lambda x: marketing.channel_matrix(x.channel)),
+        "channel_recommendation": _page(lambda x: marketing.channel_recommendation(x.channel)),
+        "channel_detail_table": _page(lambda x: marketing.channel_detail_table(x.channel)),
+        "funnel_kpis": _page(lambda x: funnel.funnel_kpis(x.funnel)),
+        "funnel_biggest_drop": _page(lambda x: funnel.funnel_biggest_drop(x.funnel)),
+        "funnel_table": _page(lambda x: funnel.funnel_table(x.funnel)),
+        "funnel_by_plan": _page(lambda x: funnel.funnel_by_plan(x.diagnostics)),
+        "funnel_by_region": _page(lambda x: funnel.funnel_by_region(x.diagnostics)),
+        "churn_threshold_flags": _page(lambda x: churn.churn_threshold_flags(x.predictions)),
+        "churn_kpis": _page(lambda x: churn.churn_kpis(x.predictions)),
+        "churn_histogram": _page(lambda x: churn.churn_histogram(x.predictions)),
+        "churn_scatter": _page(lambda x: churn.churn_scatter(x.predictions)),
+        "churn_high_risk_table": _page(
             lambda x: churn.churn_high_risk_table(predictions_from(x.stored_mart), x.stored_mart)
         ),
-        "high_risk_summary": _over(lambda x: churn.high_risk_summary(x.predictions)),
+        "high_risk_summary": _page(lambda x: churn.high_risk_summary(x.predictions)),
         "feature_importance_topn": _with_model(
             lambda f, spark: checks.checked_ranking(churn.feature_importance_topn(_importance(f, spark)))
         ),
         "model_metrics_summary": _with_model(_metrics_summary),
         # Model: features, training, evaluation
-        "churn_features": _over(
+        "churn_features": _page(
             lambda x: features.churn_features(x.mart, CFG).select("tenant_id", *engineered)
         ),
-        "one_hot_features": _over(_one_hot),
-        "feature_selection": _over(_feature_values),
-        "class_balance": _over(lambda x: metrics.class_balance(x.scored)),
-        "stratified_folds": _over(_fold_sizes),
+        "one_hot_features": _page(_one_hot),
+        "feature_selection": _page(_feature_values),
+        "class_balance": _page(lambda x: metrics.class_balance(x.scored)),
+        "stratified_folds": _page(_fold_sizes),
         "train_churn_model": _with_model(_model_shape),
         "cross_validate_churn": _with_model(lambda f, spark: checks.checked_validation(f.validation)),
         "leakage_check": _with_model(
@@ -433,15 +456,15 @@ def queries() -> dict[str, Query]:
         "churn_predictions": _with_model(
             lambda f, spark: checks.checked_predictions(training.churn_predictions(f.model, f.data, CFG), CFG)
         ),
-        "confusion_matrix": _over(lambda x: metrics.confusion_matrix(x.scored, CFG.churn_threshold)),
-        "arr_by_outcome": _over(lambda x: metrics.arr_by_outcome(x.scored, CFG.churn_threshold)),
-        "classification_report": _over(
+        "confusion_matrix": _page(lambda x: metrics.confusion_matrix(x.scored, CFG.churn_threshold)),
+        "arr_by_outcome": _page(lambda x: metrics.arr_by_outcome(x.scored, CFG.churn_threshold)),
+        "classification_report": _page(
             lambda x: metrics.classification_report(x.scored, CFG.churn_threshold)
         ),
-        "roc_curve": _over(lambda x: metrics.roc_curve(x.scored)),
-        "roc_auc": _over(lambda x: metrics.roc_auc(x.scored)),
-        "pr_curve": _over(lambda x: metrics.pr_curve(x.scored)),
-        "average_precision": _over(lambda x: metrics.average_precision(x.scored)),
+        "roc_curve": _page(lambda x: metrics.roc_curve(x.scored)),
+        "roc_auc": _page(lambda x: metrics.roc_auc(x.scored)),
+        "pr_curve": _page(lambda x: metrics.pr_curve(x.scored)),
+        "average_precision": _page(lambda x: metrics.average_precision(x.scored)),
         "feature_importance": _with_model(lambda f, spark: checks.checked_importance(_importance(f, spark))),
         "model_metrics": _with_model(lambda f, spark: checks.checked_metrics(_metrics(f))),
         **LLM_QUERIES,
