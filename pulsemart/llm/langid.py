@@ -33,6 +33,8 @@ CALIBRATE_DOCUMENTS = 200
 MARGIN, ROOM = 1.5, 1.2
 # Cross-entropy of a text varies less the longer it is, up to this many characters.
 STEADY = 400
+# Different words whose characters are held at once.
+WORDS_AT_ONCE = 1 << 15
 UNKNOWN = "und"
 BLANK = 0x20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -106,6 +108,12 @@ class LanguageModel:
 
     def word_scores(self, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For each word, its log probability in each language and its number of predicted characters."""
+        parts = [self._word_scores(vocabulary.slice(i, WORDS_AT_ONCE)) for i in range(0, len(vocabulary), WORDS_AT_ONCE)]
+        if not parts:
+            return np.zeros((0, len(self.languages))), np.zeros(0, dtype=np.int64)
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def _word_scores(self, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         chars = characters(vocabulary)
         order = len(self.grams)
         hashes = chars.grams(order)

@@ -10,7 +10,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text handled at once by one task; a longer text is handled alone.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
+
+
+def free_names(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, with underscores put before those that a column already has."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
 
 
 def pieces(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
