@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm.components import connected_components
-from pulsemart.llm.text import filled, pieces, split_words, value_bytes
+from pulsemart.llm.text import filled, free_names, pieces, split_words, value_bytes
 from pulsemart.session import cut_lineage
 
 SEED = 42
@@ -279,7 +279,8 @@ def simhash_components(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")
     )
     linked = cut_lineage(linked, "linked")
-    smallest = linked.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # A table of its own, so that the rows of a large component can be split in the join.
+    smallest = cut_lineage(linked.groupBy("component").agg(F.min("first_id").alias("component_id")), "smallest")
     named = linked.join(smallest, "component").select("fp", "component", "component_id")
     return rows.join(named, "fp").select(
         "doc_id",
@@ -295,22 +296,15 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) ->
 
     Of rows that repeat an id and a text, one stays. Columns are those of ``docs``.
     """
-    found = simhash_components(docs, radius, shingle)
-    kept = (
-        found.groupBy("component")
-        .agg(
-            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"),
-            F.count("*").alias("rows"),
-        )
-        .select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
-    )
-    copies = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("kept_rows"))
-    kept = kept.join(
-        copies, kept.kept_id.eqNullSafe(copies.doc_id) & (kept.kept_hash == copies.text_hash)
-    ).select("kept_id", "kept_hash", "kept_rows")
-    kept = cut_lineage(kept, "kept")
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_hash"))
-    single = docs.join(kept.where("kept_rows = 1"), same, "left_semi")
-    # Rows that repeat id and text are rare: only they are ranked.
-    several = docs.join(kept.where("kept_rows > 1"), same).drop("kept_rows")
-    return single.unionByName(several.dropDuplicates(["kept_id", "kept_hash"]).drop("kept_id", "kept_hash"))
+    found = cut_lineage(simhash_components(docs, radius, shingle), "components")
+    heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = heads.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("kept_rows"))
+    first = rows.groupBy(F.col("component").alias("of")).agg(F.min("text_hash").alias("kept_hash"))
+    kept = rows.join(first, (F.col("component") == F.col("of")) & (F.col("text_hash") == F.col("kept_hash")))
+    key, mark = free_names(docs.columns, "kept_id", "kept_text")
+    kept = cut_lineage(kept.select(F.col("doc_id").alias(key), F.col("kept_hash").alias(mark), "kept_rows"), "kept")
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(mark))
+    single = docs.join(kept.where("kept_rows = 1").drop("kept_rows"), same, "left_semi")
+    # Rows that repeat id and text are rare: only they are compared.
+    several = docs.join(kept.where("kept_rows > 1").drop("kept_rows"), same)
+    return single.unionByName(several.dropDuplicates([key, mark]).drop(key, mark))
