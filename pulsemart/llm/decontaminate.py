@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm.langid import mixed
-from pulsemart.llm.text import coded_words, pieces, value_bytes
+from pulsemart.llm.text import coded_words, free_names, pieces, value_bytes
 from pulsemart.session import cut_lineage
 
 # Template words of a window; an item with fewer is one window, one below SHORTEST is not searched.
@@ -240,7 +240,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that repeat a benchmark item, in the columns of ``docs``."""
-    hits = contaminated(docs, benchmark).select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
+    key, mark = free_names(docs.columns, "hit_id", "hit_text")
+    hits = contaminated(docs, benchmark).select(F.col("doc_id").alias(key), F.col("text_hash").alias(mark))
     hits = cut_lineage(hits.distinct(), "contaminated")
-    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (F.xxhash64("text") == F.col(mark))
     return docs.join(hits, same, "left_anti")

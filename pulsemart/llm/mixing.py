@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from pulsemart.llm.text import free_names
 from pulsemart.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -121,8 +122,9 @@ def mix_sizes(
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with each row as often as `mix_sizes` takes it, in the columns of ``docs``."""
-    rates = mixing_rates(docs).select(F.col("source").alias("mix_of"), F.col("rate").alias("mix_rate"))
-    placed = docs.join(rates, F.col("source").eqNullSafe(F.col("mix_of")))
-    times = copies(F.col("mix_rate"), F.col("doc_id")).cast("int")
-    repeated = placed.withColumn("mix_copy", F.explode(F.array_repeat(F.lit(1), times)))
+    of, rate, copy = free_names(docs.columns, "mix_of", "mix_rate", "mix_copy")
+    rates = mixing_rates(docs).select(F.col("source").alias(of), F.col("rate").alias(rate))
+    placed = docs.join(rates, F.col("source").eqNullSafe(F.col(of)))
+    times = copies(F.col(rate), F.col("doc_id")).cast("int")
+    repeated = placed.withColumn(copy, F.explode(F.array_repeat(F.lit(1), times)))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

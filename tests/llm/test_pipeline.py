@@ -82,8 +82,11 @@ def test_stages_on_odd_rows(spark, sf_dir):
     texts = [None, "", " ", "The and attion to thanedble", "The and attion to thanedble", "the " * 50_000, "12 34", "moron idiot scum"]
     rows = [(i, t, None, None, None, "x", 1) for i, t in enumerate(texts)] + [(None, "of the and", "en", "s", 1, "x", 1)]
     rows += [(3, texts[3], None, None, None, "x", 1)]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, fp string, rate int"
-    clean = corpus_pipeline.table(spark, sf_dir, "documents").withColumn("fp", F.lit("y")).withColumn("rate", F.lit(2))
+    names = ["fp", "kept_id", "Hit_ID", "mix_of", "mix_rate", "rate"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, fp string, " + ", ".join(f"{n} int" for n in names[1:])
+    rows = [(*r, *[1] * 4) for r in rows]
+    clean = corpus_pipeline.table(spark, sf_dir, "documents").withColumn("fp", F.lit("y"))
+    clean = clean.withColumns({n: F.lit(2) for n in names[1:]})
     odd = spark.createDataFrame(rows, schema)
     docs = cut_lineage(clean.unionByName(odd), "odd")
     for _, stage in corpus_pipeline.STAGES:
