@@ -3,8 +3,9 @@
 A word becomes a placeholder of its type if it is a number, a unit or a name; everything
 else is kept in lower case without the marks around it. Windows of such templates are
 joined between documents and benchmark items. Where a question was copied with other
-numbers or names, the slots of one alignment must still map one to one: the same
-benchmark value always to the same document value, and back.
+numbers or names, the slots of a window must still map one to one: the same benchmark
+value always to the same document value, and back. A window that does not is left out,
+others of the same alignment count.
 """
 
 from __future__ import annotations
@@ -211,28 +212,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .join(known.alias("b"), (F.col("d.hash") == F.col("b.hash")) & (F.col("d.length") == F.col("b.length")))
         .select(
             "doc_id", "text_hash", "item_id", "item_words", F.col("b.length").alias("length"), "at",
-            (F.col("place") - F.col("at")).alias("offset"), pair.alias("pairs"),
+            (F.col("place") - F.col("at")).alias("offset"), F.array_distinct(pair).alias("pairs"),
         )
     )
+    one_to_one = (F.size(F.array_distinct("pairs.old")) == F.size("pairs")) & (
+        F.size(F.array_distinct("pairs.new")) == F.size("pairs")
+    )
     # A group is one alignment of one item: as many rows as the item has words, at most.
-    aligned = matched.groupBy("doc_id", "text_hash", "item_id", "offset").agg(
+    aligned = matched.where(one_to_one).groupBy("doc_id", "text_hash", "item_id", "offset").agg(
         F.first("item_words").alias("item_words"),
         F.first("length").alias("length"),
         F.size(F.collect_set("at")).alias("windows"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
-    )
-    one_to_one = (F.size(F.array_distinct("pairs.old")) == F.size("pairs")) & (
-        F.size(F.array_distinct("pairs.new")) == F.size("pairs")
+        F.max(F.exists("pairs", lambda p: p.old != p.new)).alias("changed"),
     )
-    changed = F.exists("pairs", lambda p: p.old != p.new)
     whole = F.col("item_words") - F.col("length") + 1
     return (
-        aligned.where(one_to_one)
-        .groupBy("doc_id", "text_hash", "item_id")
+        aligned.groupBy("doc_id", "text_hash", "item_id")
         .agg(
             F.max("windows").alias("windows"),
             F.max(F.col("windows") / whole).alias("coverage"),
-            F.min(changed).alias("changed"),
+            F.min("changed").alias("changed"),
         )
         .select("doc_id", "item_id", "windows", "coverage", "changed", "text_hash")
     )

@@ -76,3 +76,14 @@ def test_types():
     assert capital.tolist() == [False, False, False, True, True, False, False]
     assert ends.tolist() == [False, False, False, False, False, True, False]
     assert core.to_pylist()[1] == "3.50"
+
+
+def test_a_conflict_takes_only_its_own_windows(spark):
+    """A changed repetition of a number further on leaves the windows before it; a window in conflict does not count."""
+    late = QUESTION.replace("of the 12", "of the 13")
+    short = "if 7 red and 7 blue balls are put into the box"
+    found = run(spark, [late, QUESTION, short.replace("7 red", "8 red"), short.replace("7", "8")], [QUESTION, short])
+    assert found.keys() == {(0, 0), (1, 0), (3, 1)}
+    assert 0 < found[(0, 0)].windows < found[(1, 0)].windows
+    assert not found[(0, 0)].changed or found[(0, 0)].coverage < 1
+    assert found[(3, 1)].changed
