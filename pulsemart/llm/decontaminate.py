@@ -6,6 +6,10 @@ joined between documents and benchmark items. Where a question was copied with o
 numbers or names, the slots of a window must still map one to one: the same benchmark
 value always to the same document value, and back. A window that does not is left out,
 others of the same alignment count.
+
+Capitals tell names only in ordinary text. Each window therefore has a second hash that no
+capital or full stop changes: names stay words, and where too few words would be left also
+numbers and units do. So exact copies of any window are found in any case.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pulsemart.session import cut_lineage
 # Template words of a window; an item with fewer is one window, one below SHORTEST is not searched.
 WINDOW = 13
 SHORTEST = 5
-# A window needs this share of words that are not placeholders.
+# A window needs this share of words that are not placeholders; its second hash takes it word by word if it has less.
 LITERAL = 0.45
 # Bits of the table that sorts out document windows before the join: 8 MB whatever the benchmark's size.
 TABLE_BITS = 26
@@ -96,23 +100,34 @@ class Templates:
         self.hashes = np.where(self.kind == LITERAL_WORD, self.literal, mixed(self.kind.astype(np.uint64)))
         self.starts = np.concatenate([[0], np.cumsum(said)])[words.starts]
 
-    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start of each window and its hash. What stands before a passage must not matter: the
-        first word counts as it is, unless it is a number or a unit."""
+    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Start of each window, its hash, its second hash, and whether that takes all words as they are.
+
+        What stands before a passage must not matter: the first word counts as it is, unless
+        it is a number or a unit.
+        """
         size = np.diff(self.starts)
         count = np.maximum(size - length + 1, 0)
         start = np.repeat(self.starts[:-1], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        head = np.where(self.kind == NAME, self.literal, self.hashes)
-        total = mixed(head[start] + np.uint64(length))
-        for j in range(1, length):
-            total = total * np.uint64(0x9E3779B97F4A7C15) + self.hashes[start + j]
-        return start, mixed(total)
-
-    def slots(self, start: int, length: int) -> list[str]:
-        """type:value of the placeholders after the first word, and of the first if it is one whatever stands before it."""
+        valued = (self.kind == NUMBER) | (self.kind == UNIT)
+        head = np.where(valued, self.hashes, self.literal)
+
+        def rolled(first: np.ndarray, later: np.ndarray) -> np.ndarray:
+            total = mixed(first[start] + np.uint64(length))
+            for j in range(1, length):
+                total = total * np.uint64(0x9E3779B97F4A7C15) + later[start + j]
+            return mixed(total)
+
+        before = np.concatenate([[0], np.cumsum(valued)])
+        plain = 1 - (before[start + length] - before[start]) / length < LITERAL
+        second = np.where(plain, rolled(self.literal, self.literal), rolled(head, head))
+        return start, rolled(head, self.hashes), second, plain
+
+    def slots(self, start: int, length: int, names: bool = True, values: bool = True) -> list[str]:
+        """type:value of the placeholders: names after the first word, numbers and units anywhere."""
         at = [
             i for i in range(start, start + length)
-            if self.kind[i] != LITERAL_WORD and not (i == start and self.kind[i] == NAME)
+            if (names and i > start if self.kind[i] == NAME else values and self.kind[i] != LITERAL_WORD)
         ]
         return [f"{TYPES[self.kind[i]]}:{self.vocabulary[int(self.codes[i])].as_py()}" for i in at]
 
@@ -127,12 +142,16 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             size = np.diff(templates.starts)
             rows = []
             for length in sorted({int(min(s, WINDOW)) for s in size if s >= SHORTEST}):
-                start, hashes = templates.windows(length)
+                start, hashes, second, plain = templates.windows(length)
                 owner = np.searchsorted(templates.starts, start, side="right") - 1
-                for s, h, o in zip(start.tolist(), hashes.view(np.int64).tolist(), owner.tolist()):
+                each = (start.tolist(), hashes.view(np.int64).tolist(), second.view(np.int64).tolist(), plain.tolist())
+                for s, h, g, p, o in zip(*each, owner.tolist()):
+                    if min(size[o], WINDOW) != length:
+                        continue
+                    at = s - int(templates.starts[o])
+                    rows.append((items[o], int(size[o]), length, at, g, templates.slots(s, length, False, not p)))
                     literal = (templates.kind[s : s + length] == LITERAL_WORD).mean()
-                    if min(size[o], WINDOW) == length and literal >= LITERAL:
-                        at = s - int(templates.starts[o])
+                    if h != g and literal >= LITERAL:
                         rows.append((items[o], int(size[o]), length, at, h, templates.slots(s, length)))
             if rows:
                 names = ["item_id", "item_words", "length", "at", "hash", "slots"]
@@ -168,12 +187,17 @@ def document_windows(docs: DataFrame, lengths: list[int], table: np.ndarray) ->
         for piece in pieces(batches):
             templates = Templates(piece.column("text"))
             for length in lengths:
-                start, hashes = templates.windows(length)
+                start, hashes, second, plain = templates.windows(length)
+                # A window without a name has one hash, and is asked for once.
+                other = np.flatnonzero(hashes != second)
+                first = np.arange(len(start) + len(other)) < len(start)
+                plain = np.concatenate([plain & (hashes == second), plain[other]])
+                start, hashes = np.concatenate([start, start[other]]), np.concatenate([hashes, second[other]])
                 slot = hashes >> np.uint64(64 - TABLE_BITS)
                 there = (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
                 if not there.any():
                     continue
-                start, hashes = start[there], hashes[there]
+                start, hashes, plain, first = start[there], hashes[there], plain[there], first[there]
                 owner = np.searchsorted(templates.starts, start, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -182,7 +206,10 @@ def document_windows(docs: DataFrame, lengths: list[int], table: np.ndarray) ->
                         pa.array(np.full(len(start), length, dtype=np.int32)),
                         pa.array((start - templates.starts[owner]).astype(np.int64)),
                         pa.array(hashes.view(np.int64)),
-                        pa.array([templates.slots(s, length) for s in start.tolist()], pa.list_(pa.string())),
+                        pa.array(
+                            [templates.slots(s, length, f, not p) for s, f, p in zip(start.tolist(), first.tolist(), plain.tolist())],
+                            pa.list_(pa.string()),
+                        ),
                     ],
                     ["doc_id", "text_hash", "length", "place", "hash", "slots"],
                 )

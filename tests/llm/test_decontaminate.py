@@ -87,3 +87,17 @@ def test_a_conflict_takes_only_its_own_windows(spark):
     assert 0 < found[(0, 0)].windows < found[(1, 0)].windows
     assert not found[(0, 0)].changed or found[(0, 0)].coverage < 1
     assert found[(3, 1)].changed
+
+
+def test_exact_copies_in_any_case(spark):
+    """Names at every thirteenth word, a text of numbers and units, and items of names: case and full stops do not matter."""
+    named = " ".join("Then we met Anna" if i % 3 == 0 else "and went on to see what was there" for i in range(9))
+    numbers = "5 kg 7 kg 9 kg 11 kg 13 kg 15 kg and 17 kg of it"
+    people = "with Anna Berta Carla Dora Emma Frida Greta Hanna Ida Johanna Klara Lena"
+    items = [named, numbers, people]
+    copies = [f(t) for t in items for f in (str, str.lower, str.upper, str.title)]
+    found = run(spark, [*copies, numbers.replace("7", "8"), "so they came. " + people.lower()], items)
+    assert found.keys() == {(i, i // 4) for i in range(12)} | {(13, 2)}
+    assert all(found[(i, i // 4)].coverage == 1 and not found[(i, i // 4)].changed for i in range(12))
+    other = QUESTION.replace("12", "40").replace("3", "7")
+    assert run(spark, [other.upper()], [QUESTION])[(0, 0)].changed
