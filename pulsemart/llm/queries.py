@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsemart.llm import decontaminate, langid, licenses, mixing, neighbours, ngrams, quality, simhash, toxicity, warc
+from pulsemart.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    mixing,
+    neighbours,
+    ngrams,
+    quality,
+    sentencepieces,
+    simhash,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +98,28 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
+    model = sentencepieces.read_piece_model(model_path or tokenizer_path())
+    encoded = sentencepieces.encode_documents(table(spark, sf_dir, "documents"), model)
+    decoded = sentencepieces.decode_documents(encoded, model)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        # The bytes of the text that the pieces' spans cover.
+        F.aggregate(
+            F.zip_with("begins", "ends", lambda begin, end: end - begin), F.lit(0).cast("long"), lambda a, b: a + b
+        ).alias("bytes_covered"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_neighbours": op1_neighbours,
     "op2_stupid_backoff": op2_stupid_backoff,
@@ -97,4 +131,5 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_decontaminate": op9_decontaminate,
     "op10_mix_sources": op10_mix_sources,
+    "op13_sentencepiece": op13_sentencepiece,
 }
