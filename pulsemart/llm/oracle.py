@@ -132,4 +132,55 @@ SELECT doc_id, len(w) AS words, round(coalesce(s, 0), 6) AS score,
 FROM texts LEFT JOIN sums USING (r)
 """
 
-ORACLES: dict[str, str] = {"op2_stupid_backoff": STUPID_BACKOFF, "op3_licenses": LICENSES, "op6_warc": WARC, "op10_mix_sources": MIX_SOURCES}
+FILTER_AUDIT = """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d),
+firsts AS (SELECT t, min(doc_id) AS first_id FROM d GROUP BY t),
+marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+),
+failed AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+    FROM words JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)
+),
+kinds AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (
+    SELECT filter_order, s AS step, substr(filter_order, s, 1) AS own, substr(filter_order, 1, s - 1) AS earlier
+    FROM orders, (SELECT unnest([1, 2, 3, 4, 5])::INT AS s)
+),
+met AS (
+    SELECT part, filter_order, step, own, n, good, toxic, fails,
+        contains(fails, own) AS fail, translate(fails, earlier, '') <> fails AS gone
+    FROM kinds, steps
+),
+results AS (
+    SELECT part, filter_order, step, any_value(own) AS own,
+        sum(CASE WHEN NOT fail AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+        sum(CASE WHEN fail AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+        sum(CASE WHEN fail AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+        sum(CASE WHEN fails = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+        sum(CASE WHEN fail AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+        sum(CASE WHEN fail AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+    FROM met GROUP BY part, filter_order, step
+)
+SELECT * EXCLUDE own, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM results
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_stupid_backoff": STUPID_BACKOFF,
+    "op3_licenses": LICENSES,
+    "op6_warc": WARC,
+    "op10_mix_sources": MIX_SOURCES,
+    "op12_filter_audit": FILTER_AUDIT,
+}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pulsemart.llm import (
     decontaminate,
+    filter_audit,
     langid,
     licenses,
     mixing,
@@ -98,6 +99,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
@@ -131,5 +136,6 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_decontaminate": op9_decontaminate,
     "op10_mix_sources": op10_mix_sources,
+    "op12_filter_audit": op12_filter_audit,
     "op13_sentencepiece": op13_sentencepiece,
 }
