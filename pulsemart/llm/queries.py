@@ -20,6 +20,7 @@ from pulsemart.llm import (
     simhash,
     toxicity,
     warc,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +100,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # A sum beyond the range of a long is null here; the operator's own column holds 38 digits.
+    return whitened.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -136,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_decontaminate": op9_decontaminate,
     "op10_mix_sources": op10_mix_sources,
+    "op11_whitening": op11_whitening,
     "op12_filter_audit": op12_filter_audit,
     "op13_sentencepiece": op13_sentencepiece,
 }
