@@ -118,9 +118,8 @@ def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
 
 def op13_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     model = sentencepieces.read_piece_model(model_path or tokenizer_path())
-    encoded = sentencepieces.encode_documents(table(spark, sf_dir, "documents"), model)
-    decoded = sentencepieces.decode_documents(encoded, model)
-    return decoded.select(
+    encoded = sentencepieces.encode_documents(table(spark, sf_dir, "documents"), model, decoded=True)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

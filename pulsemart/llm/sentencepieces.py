@@ -551,9 +551,9 @@ def parse_piece_model(data: bytes) -> PieceModel:
 
 
 def encode_documents(
-    docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, model: PieceModel, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, ids, begins, ends.
+    """One row per row of ``docs``: doc_id, ids, begins, ends, and with ``decoded`` the text of the ids.
 
     Piece i of a text stands for its bytes ``begins[i]`` to ``ends[i]`` (UTF-8, end excluded);
     spans follow one another, and only the space put before the first word and the first bytes
@@ -568,12 +568,16 @@ def encode_documents(
         for piece in pieces(batches):
             ids, begins, ends, starts = shared.value.encode(piece.column("text"))
             offsets = pa.array(starts, pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int32())) for v in (ids, begins, ends)]
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *lists], ["doc_id", "ids", "begins", "ends"])
+            columns = [pa.ListArray.from_arrays(offsets, pa.array(v, pa.int32())) for v in (ids, begins, ends)]
+            if decoded:
+                columns.append(pa.array(shared.value.decode(ids, starts), pa.string()))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), *columns], names)
 
     kind = docs.schema[id_column].dataType.simpleString()
+    schema = f"doc_id {kind}, ids array<int>, begins array<int>, ends array<int>" + ", decoded string" * decoded
+    names = ["doc_id", "ids", "begins", "ends", *["decoded"] * decoded]
     narrow = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
-    return narrow.mapInArrow(encode, f"doc_id {kind}, ids array<int>, begins array<int>, ends array<int>")
+    return narrow.mapInArrow(encode, schema)
 
 
 def decode_documents(rows: DataFrame, model: PieceModel, ids_column: str = "ids", as_column: str = "decoded") -> DataFrame:

@@ -142,6 +142,8 @@ def test_rows(spark, plain):
     assert encoded.columns == ["doc_id", "ids", "begins", "ends"]
     texts = sorted((r.doc_id or 0, r.decoded) for r in sentencepieces.decode_documents(encoded, model).collect())
     assert texts == [(0, "é\n"), (1, "one two"), (1, "one two"), (2, ""), (3, "")]
+    both = sentencepieces.encode_documents(docs, model, decoded=True)
+    assert sorted((r.doc_id or 0, r.decoded) for r in both.collect()) == texts
     extra = encoded.selectExpr("doc_id", "if(doc_id = 3, null, ids) ids", "'x' decoded")
     again = {(r.doc_id or 0): r[-1] for r in sentencepieces.decode_documents(extra, model).collect()}
     assert again == {0: "é\n", 1: "one two", 2: "", 3: None}
