@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, LongType, StringType, StructField, StructType
 
 from pulsemart.functions import flag, instant_literal
+from pulsemart.sources.csv_records import csv_records, has_line_breaks, parse_records
 from pulsemart.sources.schemas import MALFORMED, RAW_SCHEMAS, SEQUENCE, SEQUENCED, TABLES, YES_NO
 
 
@@ -51,23 +52,35 @@ def missing_columns(spark: SparkSession, table: str, path: str) -> list[str]:
     return [f.name for f in _schema(RAW_SCHEMAS[table]) if f.name not in there]
 
 
-def scan_csv_table(spark: SparkSession, table: str, path: str, multi_line: bool = True) -> DataFrame:
+def scan_csv_table(spark: SparkSession, table: str, path: str, multi_line: bool | None = None) -> DataFrame:
     """One header CSV, or a folder of them, with the declared columns, found by name.
 
-    With ``multi_line`` a quoted value may hold line breaks; a file is then read by one
-    task, so large exports without such values are better read without it, in splits.
+    A quoted value may hold line breaks. Files are read in byte ranges by many tasks either way:
+    by Spark's own line reader if a first scan finds no line that could leave a quoted value
+    open, else by `csv_records`. ``multi_line`` skips that scan: false if no value holds a line
+    break, true if some may.
     ``MALFORMED`` marks rows with more or fewer values than the header has names. Tenants
     also get their position: file by file in the order of their names, and down the lines.
     """
     names = csv_columns(spark, path)
     corrupt = "_corrupt"
+    if has_line_breaks(spark, path) if multi_line is None else multi_line:
+        raw = parse_records(csv_records(spark, path, names), names, corrupt)
+        place = F.struct("file", "block", F.col("number").alias("line"))
+    else:
+        raw, place = _csv_by_lines(spark, path, names, corrupt)
+    position = [place.alias(SEQUENCE)] if table in SEQUENCED else []
+    typed = [_typed(f.name, f.dataType) for f in _schema(RAW_SCHEMAS[table])]
+    return raw.select(*typed, F.col(corrupt).isNotNull().alias(MALFORMED), *position)
+
+
+def _csv_by_lines(spark: SparkSession, path: str, names: list[str], corrupt: str) -> tuple[DataFrame, Column]:
     read_as = StructType([StructField(n, StringType()) for n in names] + [StructField(corrupt, StringType())])
     raw = (
         spark.read.schema(read_as)
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", corrupt)
         .csv(path)
     )
@@ -77,9 +90,7 @@ def scan_csv_table(spark: SparkSession, table: str, path: str, multi_line: bool
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
     )
-    position = [place.alias(SEQUENCE)] if table in SEQUENCED else []
-    typed = [_typed(f.name, f.dataType) for f in _schema(RAW_SCHEMAS[table])]
-    return raw.select(*typed, F.col(corrupt).isNotNull().alias(MALFORMED), *position)
+    return raw, place
 
 
 def scan_csv_tables(
@@ -87,7 +98,7 @@ def scan_csv_tables(
     folder: str,
     target: str | None = None,
     skip_existing: bool = True,
-    multi_line: bool = True,
+    multi_line: bool | None = None,
 ) -> dict[str, DataFrame]:
     """The six source tables from ``folder/<table>.csv``.
 
