@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from datetime import date
+from multiprocessing.pool import ThreadPool
 
-from pyspark.errors import AnalysisException
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, LongType, StringType, StructField, StructType
@@ -12,17 +14,13 @@ from pyspark.sql.types import DataType, IntegerType, LongType, StringType, Struc
 from pulsemart.functions import flag, instant_literal
 from pulsemart.sources.csv_records import csv_records, has_line_breaks, parse_records
 from pulsemart.sources.schemas import MALFORMED, RAW_SCHEMAS, SEQUENCE, SEQUENCED, TABLES, YES_NO
+from pulsemart.sources.sinks import sink_parquet
+from pulsemart.sources.versions import Folder, read_table, table_exists
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Look through the file system Spark itself uses (HDFS, object store or local)."""
-    try:
-        spark.read.format("binaryFile").load(path).schema
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    return Folder(spark, path).exists()
 
 
 def _schema(ddl: str) -> StructType:
@@ -108,18 +106,26 @@ def scan_csv_tables(
     """
     paths = {table: f"{folder.rstrip('/')}/{table}.csv" for table in TABLES}
     missing = [path for path in paths.values() if not path_exists(spark, path)]
-    for table, path in paths.items():
-        if path not in missing:
-            missing += [f"{path}: {column}" for column in missing_columns(spark, table, path)]
-    if missing:
-        raise FileNotFoundError(f"missing CSV files or columns: {missing}")
-    tables = {table: scan_csv_table(spark, table, path, multi_line) for table, path in paths.items()}
+    # Headers and first scans of the six tables side by side.
+    with ThreadPool(len(TABLES)) as pool:
+
+        def side_by_side(step: Callable, chosen: Iterable[str]) -> list:
+            return pool.map(inheritable_thread_target(spark)(step), chosen)
+
+        there = [table for table, path in paths.items() if path not in missing]
+        for table, columns in zip(there, side_by_side(lambda t: missing_columns(spark, t, paths[t]), there)):
+            missing += [f"{paths[table]}: {column}" for column in columns]
+        if missing:
+            raise FileNotFoundError(f"missing CSV files or columns: {missing}")
+        scans = side_by_side(lambda t: scan_csv_table(spark, t, paths[t], multi_line), TABLES)
+    tables = dict(zip(TABLES, scans))
     if target is None:
         return tables
     out = {}
     for table, df in tables.items():
         place = f"{target.rstrip('/')}/{table}"
-        df.write.mode("ignore" if skip_existing else "overwrite").parquet(place)
+        if not (skip_existing and table_exists(spark, place)):
+            sink_parquet(df, place)
         out[table] = scan_parquet(spark, place)
     return out
 
@@ -130,12 +136,13 @@ def scan_sql_table(spark: SparkSession, table: str) -> DataFrame:
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The last complete version of a table `sink_parquet` wrote, or any Parquet folder."""
+    return read_table(spark, path)
 
 
 def scan_events(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
     """Clean events from ``since`` on; the month folders before it are never listed."""
-    events = spark.read.parquet(path)
+    events = read_table(spark, path)
     if since is None:
         return events
     if "event_month" in events.columns:
@@ -144,9 +151,9 @@ def scan_events(spark: SparkSession, path: str, since: date | None = None) -> Da
 
 
 def scan_optional_parquet(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The table, or an empty one with the same columns when it was never written."""
-    if path_exists(spark, path):
-        return spark.read.parquet(path)
+    """The table, or an empty one with the same columns when it was never written, or not completely."""
+    if table_exists(spark, path):
+        return read_table(spark, path)
     return spark.createDataFrame([], _schema(schema))
 
 
