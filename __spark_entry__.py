@@ -19,7 +19,7 @@ from oracle import model as oracle_model
 from oracle import reports as oracle_reports
 from oracle import tables as oracle_tables
 from pulsemart import HealthConfig
-from pulsemart.ml import checks, features, metrics, training
+from pulsemart.ml import checks, features, metrics, model_store, training
 from pulsemart.operators import crm, quality, scoring, usage
 from pulsemart.operators.profile import column_profile
 from pulsemart.plans import marts, sql_scripts
@@ -290,8 +290,8 @@ def _model_shape(f: Fitted, spark: SparkSession) -> DataFrame:
 
 def _stored_model(f: Fitted, spark: SparkSession) -> DataFrame:
     path = new_table_path(spark, "model")
-    training.save_model(f.model, path)
-    reloaded = training.churn_predictions(training.load_model(path), f.data, CFG)
+    model_store.save_model(model_store.churn_model(f.model, f.data, CFG), path)
+    reloaded = model_store.score_mart(model_store.load_model(path), f.mart, CFG)
     return checks.checked_predictions(reloaded, CFG)
 
 

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from pulsemart.config import HealthConfig
-from pulsemart.ml import training
+from pulsemart.ml import model_store, training
 from pulsemart.operators.cleaning import CLEANERS, clean_events
 from pulsemart.operators.quality import dq_report
 from pulsemart.plans import marts
@@ -97,7 +97,7 @@ def model_job(
         sink_csv_report(
             training.model_metrics(model, data, validation, cfg), mart_path(out, "churn_model_metrics")
         )
-        training.save_model(model, mart_path(out, "churn_model"))
+        model_store.save_model(model_store.churn_model(model, data, cfg), mart_path(out, "churn_model"))
 
 
 def report_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:

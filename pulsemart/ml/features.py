@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,23 +103,30 @@ def feature_selection(
     Categories are looked up by index and stored sparsely, so a row's size and the plan do
     not grow with their number.
     """
+    stages = feature_stages(features, pairs, include_leaky)
+    return stages.transform(features).select(*features.columns, "features")
+
+
+def feature_stages(features: DataFrame, pairs: list[tuple[str, str]], include_leaky: bool = False) -> PipelineModel:
+    """What `feature_selection` does as a pipeline that can be stored: fills, indexers, encoder, assembler.
+
+    A value outside ``pairs`` has an index of its own, the last, which the encoder leaves out:
+    a category that was not there in training adds nothing.
+    """
     leaky = LEAKY_FEATURES if include_leaky else ()
     numbers = [*BASE_FEATURES, *leaky]
-    filled = features.select(
-        "*",
-        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_number_{c}") for c in numbers],
-        *[F.coalesce(F.col(c), F.lit(UNKNOWN)).alias(f"_category_{p}") for p, c in ONE_HOT.items()],
-    )
-    # A value outside ``pairs`` has an index of its own, the last, which the encoder leaves out.
+    fills = [f"coalesce(CAST({c} AS DOUBLE), 0D) AS _number_{c}" for c in numbers]
+    fills += [f"coalesce({c}, '{UNKNOWN}') AS _category_{p}" for p, c in ONE_HOT.items()]
+    stages = [SQLTransformer(statement=f"SELECT *, {', '.join(fills)} FROM __THIS__")]
     shown = [p for p in ONE_HOT if any(p == prefix for prefix, _ in pairs)]
     columns = [f"_number_{c}" for c in numbers]
     if shown:
         indexes, vectors = ([f"_{kind}_{p}" for p in shown] for kind in ("index", "vector"))
         for p, index in zip(shown, indexes):
             labels = [v for prefix, v in pairs if prefix == p]
-            indexer = StringIndexerModel.from_labels(labels, f"_category_{p}", index)
-            filled = indexer.setHandleInvalid("keep").transform(filled)
-        filled = OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=True).fit(filled).transform(filled)
+            stages.append(StringIndexerModel.from_labels(labels, f"_category_{p}", index).setHandleInvalid("keep"))
+        # The encoder learns sizes only, from the indexers.
+        indexed = PipelineModel(stages).transform(features.limit(0))
+        stages.append(OneHotEncoder(inputCols=indexes, outputCols=vectors, dropLast=True).fit(indexed))
         columns += vectors
-    assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(filled)
-    return assembled.select(*features.columns, "features")
+    return PipelineModel([*stages, VectorAssembler(inputCols=columns, outputCol="features")])

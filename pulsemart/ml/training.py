@@ -7,6 +7,7 @@ from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
 
 from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pulsemart.config import HealthConfig
 from pulsemart.ml import metrics
-from pulsemart.ml.features import categories, churn_features, feature_names, feature_selection
+from pulsemart.ml.features import categories, churn_features, feature_names, feature_stages
 from pulsemart.operators.ranking import row_numbers
 from pulsemart.session import cut_lineage, shared_folder
 
@@ -51,10 +52,12 @@ KEEP = (
 
 @dataclass(frozen=True)
 class TrainingSet:
-    """Rows with ``features``, ``label`` and ``weight``, plus the name of every feature."""
+    """Rows with ``features``, ``label`` and ``weight``, plus the name of every feature and
+    the pipeline that makes ``features``."""
 
     rows: DataFrame
     names: list[str]
+    stages: PipelineModel
 
 
 def training_set(
@@ -62,13 +65,15 @@ def training_set(
 ) -> TrainingSet:
     """Assemble and materialise the rows: boosting reads them once per tree."""
     pairs = categories(mart)
-    assembled = feature_selection(churn_features(mart, cfg), pairs, include_leaky)
+    engineered = churn_features(mart, cfg)
+    stages = feature_stages(engineered, pairs, include_leaky)
+    assembled = stages.transform(engineered)
     labelled = assembled.select(*KEEP, "features", F.col("churned").cast("int").alias("label"))
     rows = cut_lineage(stratified_folds(labelled, cfg))
     balance = metrics.class_balance(rows).first()
     weight = balance.scale_pos_weight or 1.0
     weighted = rows.withColumn("weight", F.when(F.col("label") == 1, weight).otherwise(1.0))
-    return TrainingSet(weighted, feature_names(pairs, include_leaky))
+    return TrainingSet(weighted, feature_names(pairs, include_leaky), stages)
 
 
 def stratified_folds(labelled: DataFrame, cfg: HealthConfig = HealthConfig()) -> DataFrame:
@@ -148,15 +153,15 @@ def churn_predictions(
     model: GBTClassificationModel, data: TrainingSet, cfg: HealthConfig = HealthConfig()
 ) -> DataFrame:
     """The flag looks at the probability before it is rounded for storage."""
-    return (
-        score(model, data.rows)
-        .select(
-            *KEEP,
-            F.bround("score", 4).alias("churn_probability"),
-            (F.col("score") >= cfg.churn_threshold).cast("int").alias("churn_flag"),
-        )
-        .orderBy(F.col("churn_probability").desc(), "tenant_id")
-    )
+    return predictions_of(score(model, data.rows), cfg.churn_threshold)
+
+
+def predictions_of(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        *KEEP,
+        F.bround("score", 4).alias("churn_probability"),
+        (F.col("score") >= threshold).cast("int").alias("churn_flag"),
+    ).orderBy(F.col("churn_probability").desc(), "tenant_id")
 
 
 def feature_importance(model: GBTClassificationModel, names: list[str], spark: SparkSession) -> DataFrame:
@@ -188,9 +193,8 @@ def model_metrics(
     )
 
 
-def save_model(model: GBTClassificationModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
 def load_model(path: str) -> GBTClassificationModel:
-    return GBTClassificationModel.load(path)
+    """The learner alone of a model that `model_store` saved."""
+    from pulsemart.ml import model_store
+
+    return model_store.load_model(path).learner

@@ -44,6 +44,23 @@ class Folder:
     def place(self, name: str):
         return self._paths(f"{self.path}/{name}")
 
+    def read(self, name: str) -> str:
+        stream = self.files.open(self.place(name))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, name: str, text: str):
+        """The place of a small file with this text."""
+        place = self.place(name)
+        stream = self.files.create(place, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+        return place
+
     def manifests(self) -> list[str]:
         found = self.files.globStatus(self.place(f"{MANIFEST}*"))
         return sorted(status.getPath().getName() for status in found or [])
@@ -53,21 +70,12 @@ class Folder:
         names = self.manifests()
         if not names:
             return None
-        stream = self.files.open(self.place(names[-1]))
-        try:
-            values = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        values = json.loads(self.read(names[-1]))
         return Version(**{**values, "writes": tuple(values["writes"])})
 
     def publish(self, version: Version) -> None:
         """Complete under another name first: a manifest is there whole or not at all."""
-        hidden = self.place(f"_new-{uuid.uuid4().hex}")
-        stream = self.files.create(hidden, True)
-        try:
-            stream.write(bytearray(json.dumps(asdict(version)).encode()))
-        finally:
-            stream.close()
+        hidden = self.write(f"_new-{uuid.uuid4().hex}", json.dumps(asdict(version)))
         name = f"{MANIFEST}{version.number:012d}"
         if self.files.exists(self.place(name)) or not self.files.rename(hidden, self.place(name)):
             self.files.delete(hidden, False)
