@@ -11,11 +11,12 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from pulsemart.config import HealthConfig
 from pulsemart.functions import day_literal, days_between, money_avg, money_sum
 from pulsemart.operators.cleaning import CLEANERS, clean_events
-from pulsemart.operators.crm import cs_blind_spots, crm_metrics
+from pulsemart.operators.crm import contact_history, is_blind_spot, metrics_of
 from pulsemart.operators.scoring import COMPONENTS, expansion_candidate, health_components, health_score
 from pulsemart.operators.usage import (
     tenant_usage,
@@ -101,7 +102,8 @@ def _base_columns(cfg: HealthConfig) -> list[str]:
 
 
 def _base(t: CleanTables, cfg: HealthConfig) -> DataFrame:
-    """Tenants with everything known about them, and the expansion trend in ``pp_growing``."""
+    """Tenants with everything known about them, the expansion trend in ``pp_growing`` and the
+    mask of ``contact_days``. Every clean table is read once."""
     usage = with_usage_ratios(tenant_usage(t.events, cfg).drop("in_base"))
     joined = (
         t.tenants.select(*TENANT_COLUMNS)
@@ -109,7 +111,7 @@ def _base(t: CleanTables, cfg: HealthConfig) -> DataFrame:
         .join(t.crm_companies.select("tenant_id", *COMPANY_COLUMNS), "tenant_id", "left")
         .join(user_metrics(t.users), "tenant_id", "left")
         .join(usage, "tenant_id", "left")
-        .join(crm_metrics(t.crm_activities, cfg), "tenant_id", "left")
+        .join(metrics_of(contact_history(t.crm_activities, cfg), cfg), "tenant_id", "left")
     )
     fills = {
         **BASE_FILLS,
@@ -121,30 +123,27 @@ def _base(t: CleanTables, cfg: HealthConfig) -> DataFrame:
         "pp_growing": "false",
     }
     return joined.selectExpr(
-        *[f"coalesce({c}, {fills[c]}) AS {c}" if c in fills else c for c in [*_base_columns(cfg), "pp_growing"]]
+        *[f"coalesce({c}, {fills[c]}) AS {c}" if c in fills else c for c in [*_base_columns(cfg), "pp_growing", "contact_days"]]
     )
 
 
 def tenant_base(t: CleanTables, cfg: HealthConfig = HealthConfig()) -> DataFrame:
-    return _base(t, cfg).drop("pp_growing")
+    return _base(t, cfg).drop("pp_growing", "contact_days")
 
 
 def mart_tenant_health(t: CleanTables, cfg: HealthConfig = HealthConfig()) -> DataFrame:
     """One row per tenant. Unsorted: order is a matter of presentation, see `by_health`."""
     scored = health_score(health_components(_base(t, cfg), cfg), cfg)
-    blind = (
-        cs_blind_spots(t.subscriptions, t.crm_activities, cfg)
-        .select("tenant_id", F.lit(True).alias("blind"))
-        .distinct()
-    )
-    return scored.join(blind, "tenant_id", "left").select(
+    # A tenant is a blind spot if any of its subscriptions is; its rows are together after the joins.
+    blind = F.max(is_blind_spot(cfg)).over(W.partitionBy("tenant_id"))
+    return scored.select(
         *_base_columns(cfg),
         *COMPONENTS,
         "health_score",
         "health_tier",
         "pp_growing",
         F.coalesce(expansion_candidate(cfg), F.lit(False)).alias("expansion_candidate"),
-        F.coalesce("blind", F.lit(False)).alias("cs_blind_spot"),
+        F.coalesce(F.col("tenant_id").isNotNull() & blind, F.lit(False)).alias("cs_blind_spot"),
     )
 
 
