@@ -20,7 +20,7 @@ from oracle import reports as oracle_reports
 from oracle import tables as oracle_tables
 from pulsemart import HealthConfig
 from pulsemart.ml import checks, features, metrics, model_store, training
-from pulsemart.operators import crm, quality, scoring, usage
+from pulsemart.operators import crm, daily_state, quality, scoring, usage
 from pulsemart.operators.profile import column_profile
 from pulsemart.plans import marts, sql_scripts
 from pulsemart.plans.reports import churn, executive, filters, funnel, health, marketing, renewals, trends
@@ -54,6 +54,12 @@ else:
         LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 CFG = HealthConfig()
+# What a stored usage state must say like the events themselves.
+FROM_STATE = {
+    "event_windows_from_state": "event_windows",
+    "last_event_from_state": "last_event",
+    "weekly_activity_from_state": "mart_weekly_activity",
+}
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -218,6 +224,16 @@ def _csv_round_trip(x: Inputs) -> DataFrame:
     return _profiles({table: df.drop(*EXTRA) for table, df in loaded.items()})
 
 
+def _usage_state(x: Inputs) -> DataFrame:
+    """The state after three batches: the first months, the rest, and events of all months that came late."""
+    path = new_table_path(x.spark, "usage")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(7)) == 0
+    first = F.col("event_date") < F.lit(CFG.day(60))
+    for batch, part in enumerate((first & ~late, ~first & ~late, late)):
+        daily_state.advance(path, x.clean.events.where(part), batch, CFG)
+    return daily_state.usage_state(x.spark, path)
+
+
 def _sql_table(x: Inputs) -> DataFrame:
     x.declared("events").createOrReplaceTempView("raw_product_events")
     return scan_sql_table(x.spark, "raw_product_events")
@@ -348,6 +364,9 @@ def queries() -> dict[str, Query]:
         "user_metrics": _over(lambda x: usage.user_metrics(x.clean.users)),
         "event_windows": _over(lambda x: usage.event_windows(x.clean.events, CFG)),
         "last_event": _over(lambda x: usage.last_event(x.clean.events)),
+        "event_windows_from_state": _over(lambda x: usage.event_windows(_usage_state(x), CFG)),
+        "last_event_from_state": _over(lambda x: usage.last_event(_usage_state(x))),
+        "weekly_activity_from_state": _over(lambda x: usage.weekly_activity(_usage_state(x), CFG)),
         "event_metrics": _over(lambda x: usage.event_metrics(x.clean.events, CFG)),
         "crm_metrics": _over(lambda x: crm.crm_metrics(x.clean.crm_activities, CFG)),
         "tenant_base": _over(lambda x: marts.tenant_base(x.clean, CFG)),
@@ -473,10 +492,5 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query; for outputs of the trained model, of what must hold for any learner."""
-    return {
-        **oracle_tables.QUERIES,
-        **oracle_marts.QUERIES,
-        **oracle_reports.QUERIES,
-        **oracle_model.QUERIES,
-        **LLM_ORACLES,
-    }
+    own = {**oracle_tables.QUERIES, **oracle_marts.QUERIES, **oracle_reports.QUERIES, **oracle_model.QUERIES}
+    return {**own, **{name: own[of] for name, of in FROM_STATE.items()}, **LLM_ORACLES}

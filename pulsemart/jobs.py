@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pulsemart.config import HealthConfig
 from pulsemart.ml import model_store, training
+from pulsemart.operators import daily_state
 from pulsemart.operators.cleaning import CLEANERS, clean_events
 from pulsemart.operators.quality import dq_report
 from pulsemart.plans import marts
@@ -27,6 +28,7 @@ from pulsemart.sources import (
 from pulsemart.sources.schemas import IMPORTANCE_SCHEMA, METRICS_SCHEMA, PREDICTIONS_SCHEMA
 
 DQ_REPORT = "data_quality_report"
+USAGE_STATE = "usage_state"
 MARTS = (
     "mart_tenant_health",
     "mart_weekly_activity",
@@ -54,20 +56,34 @@ def clean_job(raw: Mapping[str, DataFrame], out: str, cfg: HealthConfig = Health
     sink_csv_report(dq_report(raw), mart_path(out, DQ_REPORT), order_by=["table", "column", "issue"])
 
 
-def clean_tables(spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig()) -> marts.CleanTables:
-    """Clean tables for the marts, which never look further back than their oldest window."""
-    oldest = max(cfg.longest_window, cfg.expansion_prior_days, 7 * cfg.weekly_weeks)
+def usage_job(events: DataFrame, out: str, batch: int, cfg: HealthConfig = HealthConfig()) -> bool:
+    """Bring the stored usage state forward by raw events that came since; false if the batch was there already."""
+    return daily_state.advance(mart_path(out, USAGE_STATE), clean_events(events, cfg), batch, cfg)
+
+
+def clean_tables(
+    spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig(), from_state: bool = False
+) -> marts.CleanTables:
+    """Clean tables for the marts, which never look further back than their oldest window.
+
+    With ``from_state`` the usage state of `usage_job` stands for the events.
+    """
+    oldest = cfg.day(max(cfg.longest_window, cfg.expansion_prior_days, 7 * cfg.weekly_weeks))
 
     def load(table: str) -> DataFrame:
+        if table == "events" and from_state:
+            return daily_state.usage_state(spark, mart_path(out, USAGE_STATE), oldest)
         path = clean_path(out, table)
-        return scan_events(spark, path, cfg.day(oldest)) if table == "events" else scan_parquet(spark, path)
+        return scan_events(spark, path, oldest) if table == "events" else scan_parquet(spark, path)
 
     return marts.CleanTables(load)
 
 
-def mart_job(spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig()) -> None:
+def mart_job(
+    spark: SparkSession, out: str, cfg: HealthConfig = HealthConfig(), from_state: bool = False
+) -> None:
     """The health mart is written first; four of the others are read from it."""
-    tables = clean_tables(spark, out, cfg)
+    tables = clean_tables(spark, out, cfg, from_state)
     sink_parquet(marts.mart_tenant_health(tables, cfg), mart_path(out, "mart_tenant_health"))
     sink_parquet(marts.mart_weekly_activity(tables, cfg), mart_path(out, "mart_weekly_activity"))
     health = scan_parquet(spark, mart_path(out, "mart_tenant_health"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,12 +25,14 @@ WRITE_ID = r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
 @dataclass(frozen=True)
 class Version:
     """``number`` grows with every publication; ``writes`` are ids in names of files, ``folder`` a
-    subfolder for what is no table, ``schema`` the columns as JSON."""
+    subfolder for what is no table, ``schema`` the columns as JSON, ``through`` the last batch
+    that was added."""
 
     number: int
     writes: tuple[str, ...] = ()
     folder: str | None = None
     schema: str | None = None
+    through: int | None = None
 
 
 class Folder:
@@ -120,12 +122,8 @@ def _first_id(folder: Folder) -> set[str]:
     return set() if name is None else {re.match(WRITE_ID, name).group(1)}
 
 
-def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Make ``df`` the table at ``path``; until that is complete readers find the table there was.
-
-    ``df`` may read that table itself. One writer at a time: two that overlap are noticed when
-    the second publishes. Files of the old table and of failed writes go at the end.
-    """
+def _written(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> tuple[Folder, Version, set[str], Version]:
+    """Add the files of ``df``: (folder, version before, ids of all files before, a version of the new ones alone)."""
     spark = df.sparkSession
     folder = Folder(spark, path)
     fresh = not folder.exists()
@@ -139,16 +137,40 @@ def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     written = _ids(spark, path) - old if not fresh else _first_id(folder)
     if len(written) > 1:
         raise RuntimeError(f"{path} was written by someone else at the same time")
-    schema = df.schema if not partition_by else StructType(
-        [f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by]
-    )
-    folder.publish(Version(before.number + 1, tuple(written), schema=schema.json()))
-    gone = data_files(spark, path).where(F.col("id").isin(sorted(old))) if old else None
-    if gone is not None:
-        folder.delete_all([r.path for r in gone.select("path").collect()])
+    last = [df.schema[c] for c in partition_by]
+    schema = StructType([f for f in df.schema if f.name not in partition_by] + last)
+    return folder, before, old, Version(before.number + 1, tuple(written), schema=schema.json(), through=before.through)
+
+
+def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Make ``df`` the table at ``path``; until that is complete readers find the table there was.
+
+    ``df`` may read that table itself. One writer at a time: two that overlap are noticed when
+    the second publishes. Files of the old table and of failed writes go at the end.
+    """
+    folder, _, old, version = _written(df, path, partition_by)
+    folder.publish(version)
+    if old:
+        gone = data_files(df.sparkSession, path).where(F.col("id").isin(sorted(old))).select("path")
+        folder.delete_all([r.path for r in gone.collect()])
         _drop_empty(folder, partition_by)
 
 
+def add_batch(df: DataFrame, path: str, batch: int, partition_by: tuple[str, ...] = ()) -> bool:
+    """Add ``df`` to the table at ``path`` as its batch of that number; false if that was already done.
+
+    Numbers of batches rise. Files and number are published together, so a batch is there once
+    or not at all, however often it is tried.
+    """
+    folder = Folder(df.sparkSession, path)
+    current = folder.current() if folder.exists() else None
+    if current is not None and current.through is not None and batch <= current.through:
+        return False
+    folder, before, _, version = _written(df, path, partition_by)
+    folder.publish(replace(version, writes=(*before.writes, *version.writes), through=batch))
+    return True
+
+
 def _drop_empty(folder: Folder, partition_by: tuple[str, ...]) -> None:
     """Partition folders that the new table does not use."""
     if partition_by:
