@@ -25,6 +25,7 @@ from pulsemart.session import cut_lineage, new_table_path
 SMALLEST_REVISIT = 100
 FILE_BYTES = 1 << 28
 RANGE_BYTES = 16 << 20
+MOST_TASKS = 50_000
 READ_BYTES = 1 << 18
 BATCH_BYTES = 4 << 20
 LEVEL = 4
@@ -233,8 +234,10 @@ def read_warc(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
                 if rows:
                     yield to_batch(rows, schema)
 
-    # One range per task as far as the shuffle setting goes.
-    return ranges.repartition("file", "start").mapInArrow(read, RECORD)
+    # Ranges are a few bytes each, so a shuffle left to Spark would end in one task; a number that is
+    # given is kept. One range a task, several where there would be more tasks than a driver plans well.
+    count = ranges.count()
+    return ranges.repartition(max(1, -(-count // max(1, -(-count // MOST_TASKS))))).mapInArrow(read, RECORD)
 
 
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -2,8 +2,10 @@
 
 import gzip
 import hashlib
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulsemart.llm import oracle, queries, warc
 from tests.compare import connect, duck_rows, spark_rows
@@ -74,3 +76,20 @@ def test_other_members_and_damage(spark, tmp_path):
 def test_no_pages(spark):
     pages, _ = odd_pages(spark)
     assert warc.read_warc(warc.archive_pages(spark, pages.limit(0))).count() == 0
+
+
+def test_ranges_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    """As many tasks as ranges, though a range is a few bytes for a shuffle that merges small partitions."""
+    monkeypatch.setattr(warc, "RANGE_BYTES", 4096)
+    rows = [(i, f"u{i}", random.Random(i).randbytes(600).hex()) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    manifest = warc.archive_pages(spark, pages, f"file://{tmp_path}/w")
+    ranges = sum(-(-m.bytes // 4096) for m in manifest.collect())
+    read = warc.read_warc(manifest, with_payload=False)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
+    parts = read.select(F.spark_partition_id().alias("task"), "page_id").collect()
+    assert len(parts) == 300 and ranges > 20
+    assert len({r.task for r in parts}) > ranges / 2
+    monkeypatch.setattr(warc, "MOST_TASKS", 5)
+    assert warc.read_warc(manifest, with_payload=False).rdd.getNumPartitions() <= 5
+    assert warc.read_warc(manifest, with_payload=False).count() == 300
