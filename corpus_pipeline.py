@@ -15,12 +15,8 @@ from pulsemart.session import cut_lineage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Near duplicates share four fifths of their five-word shingles.
-NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
-# Candidates of the bit-sliced search: shingles of three words, as the operator's own query
-# takes them, and six bits. An edit changes fewer of them than of five-word ones, so
-# fingerprints stay closer; what is further apart is found by bands of minima.
-NEAR_SHINGLE, NEAR_BITS = 3, 6
+# Those of the operator's own query: shingles of three words, fingerprints within two bits.
+NEAR_SHINGLE, NEAR_BITS = 3, 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +36,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, that with the smallest id."""
-    return simhash.drop_near_duplicates(
-        docs, radius=NEAR_BITS, shingle=NEAR_SHINGLE, words=NEAR_WORDS, similarity=NEAR_SIMILARITY
-    )
+    return simhash.drop_near_duplicates(docs, radius=NEAR_BITS, shingle=NEAR_SHINGLE)
 
 
 def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
