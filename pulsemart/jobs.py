@@ -26,9 +26,11 @@ from pulsemart.sources import (
     sink_parquet,
 )
 from pulsemart.sources.schemas import IMPORTANCE_SCHEMA, METRICS_SCHEMA, PREDICTIONS_SCHEMA
+from pulsemart.sources.versions import replace_bucketed
 
 DQ_REPORT = "data_quality_report"
 USAGE_STATE = "usage_state"
+BY_TENANT = ("tenants", "subscriptions", "crm_companies")
 MARTS = (
     "mart_tenant_health",
     "mart_weekly_activity",
@@ -47,9 +49,19 @@ def mart_path(out: str, mart: str) -> str:
     return f"{out.rstrip('/')}/{mart}"
 
 
-def clean_job(raw: Mapping[str, DataFrame], out: str, cfg: HealthConfig = HealthConfig()) -> None:
+def clean_job(
+    raw: Mapping[str, DataFrame], out: str, cfg: HealthConfig = HealthConfig(), buckets: int | None = None
+) -> None:
+    """Clean tables and the quality report.
+
+    With ``buckets`` the tables of tenants' own facts are stored by tenant, for marts that join
+    them without a shuffle. Users, events and activities are not: a tenant may hold a third of
+    them, and their aggregates spread it.
+    """
     for table, cleaner in CLEANERS.items():
-        if table == "events":
+        if buckets and table in BY_TENANT:
+            replace_bucketed(cleaner(raw[table]), clean_path(out, table), "tenant_id", buckets)
+        elif table == "events":
             sink_parquet(clean_events(raw[table], cfg), clean_path(out, table), by_month_of="event_time")
         else:
             sink_parquet(cleaner(raw[table]), clean_path(out, table))

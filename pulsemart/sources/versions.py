@@ -8,9 +8,11 @@ the old table, and a first one leaves none. Only then the old files go.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, replace
 from multiprocessing.pool import ThreadPool
 
@@ -26,13 +28,15 @@ WRITE_ID = r"^part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})"
 class Version:
     """``number`` grows with every publication; ``writes`` are ids in names of files, ``folder`` a
     subfolder for what is no table, ``schema`` the columns as JSON, ``through`` the last batch
-    that was added."""
+    that was added, ``buckets`` and ``bucketed_by`` how rows are dealt to files."""
 
     number: int
     writes: tuple[str, ...] = ()
     folder: str | None = None
     schema: str | None = None
     through: int | None = None
+    buckets: int | None = None
+    bucketed_by: str | None = None
 
 
 class Folder:
@@ -122,7 +126,9 @@ def _first_id(folder: Folder) -> set[str]:
     return set() if name is None else {re.match(WRITE_ID, name).group(1)}
 
 
-def _written(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> tuple[Folder, Version, set[str], Version]:
+def _written(
+    df: DataFrame, path: str, partition_by: tuple[str, ...], write: Callable[[DataFrame, str], None] | None = None
+) -> tuple[Folder, Version, set[str], Version]:
     """Add the files of ``df``: (folder, version before, ids of all files before, a version of the new ones alone)."""
     spark = df.sparkSession
     folder = Folder(spark, path)
@@ -133,7 +139,10 @@ def _written(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> tuple[F
         # From now on only files of writes that are named count.
         before = Version(0, tuple(sorted(old)))
         folder.publish(before)
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    if write is None:
+        df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    else:
+        write(df, path)
     written = _ids(spark, path) - old if not fresh else _first_id(folder)
     if len(written) > 1:
         raise RuntimeError(f"{path} was written by someone else at the same time")
@@ -149,9 +158,46 @@ def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     the second publishes. Files of the old table and of failed writes go at the end.
     """
     folder, _, old, version = _written(df, path, partition_by)
+    _publish_alone(folder, version, old, partition_by)
+
+
+def replace_bucketed(df: DataFrame, path: str, column: str, buckets: int) -> None:
+    """Like `replace_table`, with the rows dealt to ``buckets`` by ``column`` and sorted by it.
+
+    `read_table` gives them to Spark as such, so joins and aggregates by that column need no
+    shuffle on this side. Rows of a bucket come together by a shuffle that splits large ones,
+    into as many files.
+    """
+
+    def write(rows: DataFrame, place: str) -> None:
+        name = _register(rows.sparkSession, place, rows.schema, column, buckets, {}, uuid.uuid4().hex)
+        try:
+            rows.hint("rebalance", column).write.mode("append").insertInto(name)
+        finally:
+            # The files stay: the table only lent its layout.
+            rows.sparkSession.sql(f"DROP TABLE {name}")
+
+    folder, _, old, version = _written(df, path, (), write)
+    _publish_alone(folder, replace(version, buckets=buckets, bucketed_by=column), old, ())
+
+
+def _register(spark: SparkSession, path: str, schema: StructType, column: str, buckets: int, options: dict[str, str], key: str) -> str:
+    """The name of a session's table over bucketed files."""
+    name = f"pulsemart_{key}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    given = ", ".join(f"'{k}' '{v}'" for k, v in {"path": path, **options}.items())
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet OPTIONS ({given}) "
+        f"CLUSTERED BY (`{column}`) SORTED BY (`{column}`) INTO {buckets} BUCKETS"
+    )
+    return name
+
+
+def _publish_alone(folder: Folder, version: Version, old: set[str], partition_by: tuple[str, ...]) -> None:
+    """Publish a version and take the files of all others away."""
     folder.publish(version)
     if old:
-        gone = data_files(df.sparkSession, path).where(F.col("id").isin(sorted(old))).select("path")
+        gone = data_files(folder.spark, folder.path).where(F.col("id").isin(sorted(old))).select("path")
         folder.delete_all([r.path for r in gone.collect()])
         _drop_empty(folder, partition_by)
 
@@ -195,7 +241,10 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.parquet(path)
     if not table_exists(spark, path):
         raise FileNotFoundError(f"{path}: no write of this table was completed")
-    reader = spark.read.option("pathGlobFilter", f"*{{{','.join(version.writes)}}}*" if version.writes else "none")
-    if version.schema is not None:
-        reader = reader.schema(StructType.fromJson(json.loads(version.schema)))
-    return reader.parquet(path)
+    named = f"*{{{','.join(version.writes)}}}*" if version.writes else "none"
+    schema = None if version.schema is None else StructType.fromJson(json.loads(version.schema))
+    if version.buckets is not None:
+        key = hashlib.sha256(f"{path} {named}".encode()).hexdigest()[:32]
+        return spark.table(_register(spark, path, schema, version.bucketed_by, version.buckets, {"pathGlobFilter": named}, key))
+    reader = spark.read.option("pathGlobFilter", named)
+    return (reader if schema is None else reader.schema(schema)).parquet(path)
