@@ -21,9 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulsemart.llm.components import connected_components
-from pulsemart.llm.decontaminate import string_hashes
-from pulsemart.llm.langid import mixed
-from pulsemart.llm.text import coded_words, filled, free_names, pieces, split_words, value_bytes
+from pulsemart.llm.text import filled, free_names, pieces, split_words, value_bytes
 from pulsemart.session import cut_lineage
 
 SEED = 42
@@ -36,11 +34,6 @@ SMALL = 32
 BLOCK = 16
 MOST_BANDS = 4
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
-# Bands of minima of the shingles' hashes, and minima of a band. Two texts whose sets are
-# four fifths alike share a band with probability 1 - (1 - 0.8^6)^24 = 0.9993 at least.
-MIN_BANDS, MIN_ROWS = 24, 6
-# In larger blocks of a band than SMALL, texts meet the first one and so many that follow them.
-FOLLOWING = 4
 
 
 def bit_counts(hashes: np.ndarray, text: np.ndarray, texts: int) -> np.ndarray:
@@ -298,152 +291,13 @@ def simhash_components(
     )
 
 
-def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The different hashes of each text's shingles, and where each text's start (and the last end)."""
-    coded = coded_words(pc.ascii_lower(filled(texts)))
-    code = string_hashes(coded.vocabulary)[coded.codes]
-    size = np.diff(coded.starts)
-    length = np.minimum(size, words)
-    count = np.where(size > 0, size - length + 1, 0)
-    owner = np.repeat(np.arange(len(size)), count)
-    first = coded.starts[:-1][owner] + np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    total = code[first]
-    for j in range(1, words):
-        longer = length[owner] > j
-        total[longer] = total[longer] * np.uint64(0x9E3779B97F4A7C15) + code[first[longer] + j]
-    hashes = mixed(total + length[owner].astype(np.uint64))
-    order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
-    new = np.ones(len(owner), dtype=bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[new], np.concatenate([[0], np.cumsum(np.bincount(owner[new], minlength=len(size)))])
-
-
-def band_minima(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Per text one number for each band of minima; a text without a word has those of an empty set."""
-    out = np.zeros((len(starts) - 1, MIN_BANDS), dtype=np.uint64)
-    there = np.flatnonzero(np.diff(starts))
-    if len(there):
-        factors = mixed(np.arange(MIN_BANDS * MIN_ROWS, dtype=np.uint64) + np.uint64(SEED)) | np.uint64(1)
-        for i, factor in enumerate(factors):
-            least = np.minimum.reduceat(hashes * factor, starts[there])
-            out[there, i // MIN_ROWS] = mixed(out[there, i // MIN_ROWS] + least)
-    return out
-
-
-def candidate_pairs(signed: DataFrame, radius: int) -> DataFrame:
-    """(a, b) text hashes that may be near duplicates, from (text_hash, fp, bands), one row per text.
-
-    Links of the bit-sliced search, and pairs that share a band. Every text has a bounded
-    number of them, however large its block.
-    """
-    heads = cut_lineage(signed.groupBy("fp").agg(F.min("text_hash").alias("head")), "fingerprint-heads")
-    alike = signed.join(heads, "fp").select(F.col("head").alias("a"), F.col("text_hash").alias("b"))
-    links = fingerprint_links(heads.select("fp"), radius)
-    left = heads.select(F.col("fp").alias("a"), F.col("head").alias("x"))
-    right = heads.select(F.col("fp").alias("b"), F.col("head").alias("y"))
-    linked = links.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-
-    def pair(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for values, starts in sorted_blocks(batches):
-            sizes = np.diff(starts)
-            size, begin = np.repeat(sizes, sizes), np.repeat(starts[:-1], sizes)
-            place = np.arange(len(values)) - begin
-            large = np.flatnonzero((size > SMALL) & (place > 0))
-            a, b = [begin[large]], [large]
-            for step in range(1, SMALL):
-                later = np.flatnonzero((place >= step) & ((size <= SMALL) | (step <= FOLLOWING)))
-                a.append(later - step)
-                b.append(later)
-            found = values.view(np.int64)
-            columns = [pa.array(found[np.concatenate(side)]) for side in (a, b)]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
-
-    zero = F.lit(0).alias
-    banded = signed.select(F.posexplode("bands").alias("band", "key"), zero("x"), zero("y"), "text_hash")
-    dealt = banded.repartition("band", "key").sortWithinPartitions("band", "key", "text_hash")
-    pairs = dealt.mapInArrow(pair, "a long, b long").unionAll(alike).unionAll(linked).where("a != b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def similar_components(docs: DataFrame, radius: int, shingle: int, words: int, similarity: float) -> DataFrame:
-    """One row per row of ``docs``: doc_id, text_hash, component, component_id.
-
-    Texts are linked if the sets of their shingles of ``words`` words have at least the
-    Jaccard ``similarity``: candidates come from `candidate_pairs`, and each is compared by
-    its whole sets. Texts are read as by `simhash_components`; those without a word are
-    alike. ``component_id`` is the smallest id reachable, null if there is none.
-    """
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-
-    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            hashes, starts = shingle_sets(piece.column("text"), words)
-            columns = [
-                piece.column("doc_id"),
-                piece.column("text_hash"),
-                pa.array(np.diff(starts).astype(np.int64)),
-                pa.array(fingerprints(piece.column("text"), shingle).view(np.int64)),
-                pa.array(list(band_minima(hashes, starts).view(np.int64)), pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "size", "fp", "bands"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = rows.mapInArrow(sign, f"doc_id {kind}, text_hash long, size long, fp long, bands array<long>")
-    signed = cut_lineage(signed, "signed")
-    of = signed.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
-    different = signed.select("text_hash", "size", "fp", "bands").dropDuplicates(["text_hash"])
-    different = cut_lineage(different, "different-texts")
-    sizes = different.select("text_hash", "size")
-    pairs = (
-        candidate_pairs(different, radius)
-        .join(sizes.toDF("a", "size_a"), "a")
-        .join(sizes.toDF("b", "size_b"), "b")
-        .where(F.least("size_a", "size_b") >= F.lit(similarity) * F.greatest("size_a", "size_b"))
-    )
-    pairs = cut_lineage(pairs, "candidates")
-    wanted = pairs.select(F.col("a").alias("text_hash")).union(pairs.select("b")).distinct()
-
-    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
-            hashes, starts = shingle_sets(piece.column("text"), words)
-            sets = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(hashes.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([piece.column("text_hash"), sets], ["text_hash", "shingles"])
-
-    texts = rows.select("text_hash", "text").join(wanted, "text_hash", "left_semi")
-    sets = texts.mapInArrow(whole, "text_hash long, shingles array<long>").dropDuplicates(["text_hash"])
-    sets = cut_lineage(sets, "shingles")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    links = (
-        pairs.join(sets.toDF("a", "of_a"), "a")
-        .join(sets.toDF("b", "of_b"), "b")
-        .where(common >= F.lit(similarity) * (F.col("size_a") + F.col("size_b") - common))
-        .select("a", "b")
-    )
-    member = connected_components(links).withColumnRenamed("node", "text_hash")
-    linked = of.join(member, "text_hash", "left").select(
-        "text_hash", "first_id", F.coalesce("component", "text_hash").alias("component")
-    )
-    linked = cut_lineage(linked, "linked")
-    smallest = cut_lineage(linked.groupBy("component").agg(F.min("first_id").alias("component_id")), "smallest")
-    named = linked.join(smallest, "component").select("text_hash", "component", "component_id")
-    return signed.select("doc_id", "text_hash").join(named, "text_hash")
-
-
-def drop_near_duplicates(
-    docs: DataFrame, radius: int = 2, shingle: int = 3, words: int = 5, similarity: float | None = None
-) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3) -> DataFrame:
     """``docs`` with one row of each component: that with the smallest id (nulls last), then text hash.
 
-    Components are those of `simhash_components`, or with a ``similarity`` those of
-    `similar_components`. Of rows that repeat an id and a text, one stays. Columns are
-    those of ``docs``.
+    Components are those of `simhash_components`. Of rows that repeat an id and a text, one
+    stays. Columns are those of ``docs``.
     """
-    if similarity is None:
-        found = simhash_components(docs, radius, shingle)
-    else:
-        found = similar_components(docs, radius, shingle, words, similarity)
-    found = cut_lineage(found, "components")
+    found = cut_lineage(simhash_components(docs, radius, shingle), "components")
     heads = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     rows = heads.groupBy("component", "doc_id", "text_hash").agg(F.count("*").alias("kept_rows"))
     first = rows.groupBy(F.col("component").alias("of")).agg(F.min("text_hash").alias("kept_hash"))

@@ -27,9 +27,12 @@ def test_reparameterised_questions(spark):
     mixed = QUESTION.replace("gave 5 of the 12", "gave 5 of the 13").replace("had Alice", "had Carol")
     noise = "nothing to see in this text that only has common words and no question at all "
     found = run(spark, [QUESTION, noise + QUESTION.upper() + noise, noise + other, mixed, noise * 20, QUESTION[:60]], [QUESTION])
-    assert found.keys() == {(0, 0), (1, 0), (2, 0)} or found.keys() == {(0, 0), (2, 0)}
+    # Of `mixed`, whole windows repeat the item word for word, whatever was changed further on.
+    assert found.keys() == {(0, 0), (1, 0), (2, 0), (3, 0)}
     assert not found[(0, 0)].changed and found[(0, 0)].coverage == 1
+    assert not found[(1, 0)].changed and found[(1, 0)].coverage > 0.9
     assert found[(2, 0)].changed and found[(2, 0)].coverage > 0.9
+    assert 0 < found[(3, 0)].coverage < 1
 
 
 def test_verbatim_whatever_the_case_of_plain_text(spark):

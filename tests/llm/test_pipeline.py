@@ -32,7 +32,7 @@ def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "toxicity", "near_dedup", "decontaminate", "mix"]
     queries = entry.queries()
     found = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries if n.startswith("op"))
-    assert found == list(range(1, 11)) and "pipeline" in queries
+    assert found == list(range(1, 14)) and "pipeline" in queries
     assert set(entry.LLM_ORACLES) <= set(queries)
 
 

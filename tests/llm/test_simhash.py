@@ -107,23 +107,3 @@ def test_long_chain_is_one_component(spark):
     rows = connected_components(links).collect()
     assert len(rows) == 501 and {r.component for r in rows} == {0}
     assert connected_components(links.limit(0)).count() == 0
-
-
-def test_near_duplicates_by_five_words_in_common(spark):
-    """A changed word in sixty leaves 51 of 61 shingles, three leave 41 of 71: only the former goes."""
-    rng = np.random.default_rng(5)
-    texts = []
-    for i in range(60):
-        words = [f"w{n}" for n in rng.integers(0, 100_000, 60)]
-        one, three = list(words), list(words)
-        one[30] = "other"
-        for k in (10, 30, 50):
-            three[k] = "other"
-        texts += [" ".join(words), " ".join(one if i % 2 else three)]
-    rows = [(i, t) for i, t in enumerate([*texts, None, "", "a b", "A  b"])] + [(0, texts[0]), (None, texts[5])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = [r.doc_id for r in simhash.drop_near_duplicates(docs, radius=6, similarity=0.8).collect()]
-    assert sorted(kept) == [i for i in range(120) if i % 4 != 3] + [120, 122]
-    near = [(fingerprint(texts[i]) ^ fingerprint(texts[i + 1])).bit_count() for i in range(0, 120, 2)]
-    assert any(n > 6 for n in near[1::2])
-    assert simhash.drop_near_duplicates(docs.limit(0), similarity=0.8).count() == 0
