@@ -25,8 +25,8 @@ from pulsemart.llm.text import coded_words, filled, pieces
 
 ORDER = 3
 BACKOFF = 0.4
-# n-grams of order two and more that occur less often in the corpus are not in its tables.
-LEAST = 2
+# n-grams of order two and more that occur less often in the corpus are not in its tables: none.
+LEAST = 1
 # Bits of an n-gram's hash; two different ones meet with probability 2^-56.
 HASH_BITS = 56
 # Text of a block, and n-grams of an order in a partition of the count tables, on average.

@@ -92,7 +92,7 @@ SELECT f.doc_id, CASE WHEN f.form <> '' THEN sha256(f.form) END AS digest, d.lic
 FROM forms f LEFT JOIN digests d ON f.form <> '' AND sha256(f.form) = d.digest
 """
 
-# Stupid backoff with three words, tables of n-grams that occur twice, on n-grams as text.
+# Stupid backoff with three words, on n-grams as text.
 STUPID_BACKOFF = """
 WITH texts AS (
     SELECT row_number() OVER () AS r, doc_id,
@@ -116,8 +116,8 @@ n3 AS (SELECT g3 AS g, count(*) AS n FROM grams WHERE g3 IS NOT NULL GROUP BY 1)
 size AS (SELECT count(*) AS n FROM grams),
 scored AS (
     SELECT r, CASE
-        WHEN a3.n >= 2 THEN ln(a3.n / b2.n)
-        WHEN a2.n >= 2 THEN CASE WHEN g3 IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END + ln(a2.n / b1.n)
+        WHEN a3.n >= 1 THEN ln(a3.n / b2.n)
+        WHEN a2.n >= 1 THEN CASE WHEN g3 IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END + ln(a2.n / b1.n)
         ELSE CASE WHEN g3 IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END + CASE WHEN g2 IS NULL THEN 0 ELSE ln(0.4::DOUBLE) END
             + ln(a1.n / size.n)
         END AS s
