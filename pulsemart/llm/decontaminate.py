@@ -9,7 +9,9 @@ others of the same alignment count.
 
 Capitals tell names only in ordinary text. Each window therefore has a second hash that no
 capital or full stop changes: names stay words, and where too few words would be left also
-numbers and units do. So exact copies of any window are found in any case.
+numbers and units do. So exact copies of any window are found in any case. At the start of a
+sentence a capital may be a name or not: a third hash takes every capital for one, on both
+sides alike, so questions that begin with a name are found under another.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pulsemart.llm.langid import mixed
 from pulsemart.llm.text import coded_words, free_names, pieces, value_bytes
 from pulsemart.session import cut_lineage
 
-# Template words of a window; an item with fewer is one window, one below SHORTEST is not searched.
+# Template words of a window; an item with fewer is one window, one below SHORTEST must be the whole document.
 WINDOW = 13
 SHORTEST = 5
 # A window needs this share of words that are not placeholders; its second hash takes it word by word if it has less.
@@ -98,22 +100,25 @@ class Templates:
         self.codes = codes[said]
         self.literal = literal[self.codes]
         self.hashes = np.where(self.kind == LITERAL_WORD, self.literal, mixed(self.kind.astype(np.uint64)))
+        # With every capital as a name, wherever it stands.
+        self.any_kind = np.where((kind[codes] == LITERAL_WORD) & capital[codes], NAME, kind[codes])[said]
         self.starts = np.concatenate([[0], np.cumsum(said)])[words.starts]
 
-    def windows(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Start of each window, its hash, its second hash, and whether that takes all words as they are.
+    def windows(self, length: int) -> tuple[np.ndarray, ...]:
+        """Start of each window, its hash, its second hash, whether that takes all words as they are, its third hash and whether it has one.
 
         What stands before a passage must not matter: the first word counts as it is, unless
-        it is a number or a unit.
+        it is a number or a unit; for the third hash capitals alone count. Windows below
+        SHORTEST are whole texts.
         """
         size = np.diff(self.starts)
-        count = np.maximum(size - length + 1, 0)
+        count = np.maximum(size - length + 1, 0) if length >= SHORTEST else (size == length).astype(np.int64)
         start = np.repeat(self.starts[:-1], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         valued = (self.kind == NUMBER) | (self.kind == UNIT)
         head = np.where(valued, self.hashes, self.literal)
 
-        def rolled(first: np.ndarray, later: np.ndarray) -> np.ndarray:
-            total = mixed(first[start] + np.uint64(length))
+        def rolled(first: np.ndarray, later: np.ndarray, start: np.ndarray = start, salt: int = 0) -> np.ndarray:
+            total = mixed(first[start] + np.uint64(length + salt))
             for j in range(1, length):
                 total = total * np.uint64(0x9E3779B97F4A7C15) + later[start + j]
             return mixed(total)
@@ -121,7 +126,16 @@ class Templates:
         before = np.concatenate([[0], np.cumsum(valued)])
         plain = 1 - (before[start + length] - before[start]) / length < LITERAL
         second = np.where(plain, rolled(self.literal, self.literal), rolled(head, head))
-        return start, rolled(head, self.hashes), second, plain
+        # A third hash only where it says more than the first: a name at the start of a sentence or window.
+        moved = np.concatenate([[0], np.cumsum(self.any_kind != self.kind)])
+        words = np.concatenate([[0], np.cumsum(self.any_kind == LITERAL_WORD)])
+        opens = self.any_kind[start] == NAME
+        has = (opens | (moved[start + length] > moved[start])) & ((words[start + length] - words[start]) / length >= LITERAL)
+        third = np.zeros(len(start), dtype=np.uint64)
+        if length >= SHORTEST and has.any():
+            every = np.where(self.any_kind == LITERAL_WORD, self.literal, mixed(self.any_kind.astype(np.uint64)))
+            third[has] = rolled(every, every, start[has], WINDOW + 1)
+        return start, rolled(head, self.hashes), second, plain, third, has & (length >= SHORTEST)
 
     def slots(self, start: int, length: int, names: bool = True, values: bool = True) -> list[str]:
         """type:value of the placeholders: names after the first word, numbers and units anywhere."""
@@ -131,6 +145,11 @@ class Templates:
         ]
         return [f"{TYPES[self.kind[i]]}:{self.vocabulary[int(self.codes[i])].as_py()}" for i in at]
 
+    def any_slots(self, start: int, length: int) -> list[str]:
+        """The same with every capital as a name."""
+        at = [i for i in range(start, start + length) if self.any_kind[i] != LITERAL_WORD]
+        return [f"{TYPES[self.any_kind[i]]}:{self.vocabulary[int(self.codes[i])].as_py()}" for i in at]
+
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, item_words, length, at, hash, slots) for every window of every item."""
@@ -141,15 +160,19 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
             items = piece.column("item_id").to_pylist()
             size = np.diff(templates.starts)
             rows = []
-            for length in sorted({int(min(s, WINDOW)) for s in size if s >= SHORTEST}):
-                start, hashes, second, plain = templates.windows(length)
+            for length in sorted({int(min(s, WINDOW)) for s in size if s}):
+                start, hashes, second, plain, third, has = templates.windows(length)
                 owner = np.searchsorted(templates.starts, start, side="right") - 1
-                each = (start.tolist(), hashes.view(np.int64).tolist(), second.view(np.int64).tolist(), plain.tolist())
-                for s, h, g, p, o in zip(*each, owner.tolist()):
+                each = [h.view(np.int64).tolist() for h in (hashes, second, third)]
+                for s, h, g, t, p, more, o in zip(start.tolist(), *each, plain.tolist(), has.tolist(), owner.tolist()):
                     if min(size[o], WINDOW) != length:
                         continue
                     at = s - int(templates.starts[o])
                     rows.append((items[o], int(size[o]), length, at, g, templates.slots(s, length, False, not p)))
+                    if length < SHORTEST:
+                        continue
+                    if more:
+                        rows.append((items[o], int(size[o]), length, at, t, templates.any_slots(s, length)))
                     literal = (templates.kind[s : s + length] == LITERAL_WORD).mean()
                     if h != g and literal >= LITERAL:
                         rows.append((items[o], int(size[o]), length, at, h, templates.slots(s, length)))
@@ -187,17 +210,18 @@ def document_windows(docs: DataFrame, lengths: list[int], table: np.ndarray) ->
         for piece in pieces(batches):
             templates = Templates(piece.column("text"))
             for length in lengths:
-                start, hashes, second, plain = templates.windows(length)
+                start, hashes, second, plain, third, has = templates.windows(length)
                 # A window without a name has one hash, and is asked for once.
-                other = np.flatnonzero(hashes != second)
-                first = np.arange(len(start) + len(other)) < len(start)
-                plain = np.concatenate([plain & (hashes == second), plain[other]])
-                start, hashes = np.concatenate([start, start[other]]), np.concatenate([hashes, second[other]])
+                other, more = np.flatnonzero(hashes != second), np.flatnonzero(has)
+                kind = np.repeat([0, 1, 2], [len(start), len(other), len(more)])
+                plain = np.concatenate([plain & (hashes == second), plain[other], plain[more]])
+                hashes = np.concatenate([hashes, second[other], third[more]])
+                start = np.concatenate([start, start[other], start[more]])
                 slot = hashes >> np.uint64(64 - TABLE_BITS)
                 there = (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
                 if not there.any():
                     continue
-                start, hashes, plain, first = start[there], hashes[there], plain[there], first[there]
+                start, hashes, plain, kind = start[there], hashes[there], plain[there], kind[there]
                 owner = np.searchsorted(templates.starts, start, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -207,7 +231,10 @@ def document_windows(docs: DataFrame, lengths: list[int], table: np.ndarray) ->
                         pa.array((start - templates.starts[owner]).astype(np.int64)),
                         pa.array(hashes.view(np.int64)),
                         pa.array(
-                            [templates.slots(s, length, f, not p) for s, f, p in zip(start.tolist(), first.tolist(), plain.tolist())],
+                            [
+                                templates.any_slots(s, length) if k == 2 else templates.slots(s, length, k == 0, not p)
+                                for s, k, p in zip(start.tolist(), kind.tolist(), plain.tolist())
+                            ],
                             pa.list_(pa.string()),
                         ),
                     ],
@@ -226,7 +253,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``windows`` is the largest number of the item's windows found in one alignment,
     ``coverage`` their share, ``changed`` whether slots hold other values than the item's.
-    A document is reported from one whole window on. Null and empty texts and items match
+    A document is reported from one whole window on; an item of fewer than ``SHORTEST`` words
+    only if the document is that item, in any case. Windows in which fewer than ``LITERAL`` of the
+    words are no placeholders are found word for word only. Null and empty texts and items match
     nothing; rows that repeat an id and a text are reported once; a null id is kept as
     null. Without documents or items there are no rows. Other columns are ignored.
     """
