@@ -7,6 +7,7 @@ no plan spans more than one of them.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,7 +17,7 @@ from pulsemart.operators import daily_state
 from pulsemart.operators.cleaning import CLEANERS, clean_events
 from pulsemart.operators.quality import dq_report
 from pulsemart.plans import marts
-from pulsemart.session import temporary_tables
+from pulsemart.session import side_by_side, temporary_tables
 from pulsemart.sources import (
     scan_events,
     scan_optional_csv,
@@ -58,14 +59,20 @@ def clean_job(
     them without a shuffle. Users, events and activities are not: a tenant may hold a third of
     them, and their aggregates spread it.
     """
-    for table, cleaner in CLEANERS.items():
-        if buckets and table in BY_TENANT:
-            replace_bucketed(cleaner(raw[table]), clean_path(out, table), "tenant_id", buckets)
-        elif table == "events":
+
+    def write(table: str) -> None:
+        if table == "events":
             sink_parquet(clean_events(raw[table], cfg), clean_path(out, table), by_month_of="event_time")
+        elif buckets and table in BY_TENANT:
+            replace_bucketed(CLEANERS[table](raw[table]), clean_path(out, table), "tenant_id", buckets)
         else:
-            sink_parquet(cleaner(raw[table]), clean_path(out, table))
-    sink_csv_report(dq_report(raw), mart_path(out, DQ_REPORT), order_by=["table", "column", "issue"])
+            sink_parquet(CLEANERS[table](raw[table]), clean_path(out, table))
+
+    def report() -> None:
+        sink_csv_report(dq_report(raw), mart_path(out, DQ_REPORT), order_by=["table", "column", "issue"])
+
+    spark = raw["tenants"].sparkSession
+    side_by_side(spark, [report, *[partial(write, table) for table in CLEANERS]])
 
 
 def usage_job(events: DataFrame, out: str, batch: int, cfg: HealthConfig = HealthConfig()) -> bool:
@@ -96,15 +103,22 @@ def mart_job(
 ) -> None:
     """The health mart is written first; four of the others are read from it."""
     tables = clean_tables(spark, out, cfg, from_state)
-    sink_parquet(marts.mart_tenant_health(tables, cfg), mart_path(out, "mart_tenant_health"))
-    sink_parquet(marts.mart_weekly_activity(tables, cfg), mart_path(out, "mart_weekly_activity"))
-    health = scan_parquet(spark, mart_path(out, "mart_tenant_health"))
-    sink_parquet(marts.mart_channel_performance(health), mart_path(out, "mart_channel_performance"))
-    sink_parquet(marts.mart_renewal_pipeline(health, cfg), mart_path(out, "mart_renewal_pipeline"))
-    sink_parquet(marts.mart_trial_funnel(health), mart_path(out, "mart_trial_funnel"))
-    sink_parquet(
-        marts.mart_trial_funnel_diagnostics(health), mart_path(out, "mart_trial_funnel_diagnostics")
+    place = partial(mart_path, out)
+    side_by_side(
+        spark,
+        [
+            lambda: sink_parquet(marts.mart_tenant_health(tables, cfg), place("mart_tenant_health")),
+            lambda: sink_parquet(marts.mart_weekly_activity(tables, cfg), place("mart_weekly_activity")),
+        ],
     )
+    health = scan_parquet(spark, place("mart_tenant_health"))
+    derived = {
+        "mart_channel_performance": marts.mart_channel_performance(health),
+        "mart_renewal_pipeline": marts.mart_renewal_pipeline(health, cfg),
+        "mart_trial_funnel": marts.mart_trial_funnel(health),
+        "mart_trial_funnel_diagnostics": marts.mart_trial_funnel_diagnostics(health),
+    }
+    side_by_side(spark, [partial(sink_parquet, df, place(mart)) for mart, df in derived.items()])
 
 
 def model_job(

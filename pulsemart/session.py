@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from pyarrow.fs import FileSystem, FileType
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
 # Tables written inside the open `temporary_tables` blocks.
 _scopes: list[list[str]] = []
 
@@ -86,6 +91,13 @@ def temporary_tables() -> Iterator[None]:
                 system.delete_dir(place)
 
 
+def side_by_side(spark: SparkSession, steps: Iterable[Callable[[], T]]) -> list[T]:
+    """The results of independent steps, each of which runs its own jobs: their tasks share the executors."""
+    steps = list(steps)
+    with ThreadPool(max(len(steps), 1)) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda step: step()), steps)
+
+
 def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and continue from there.
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
 from datetime import date
-from multiprocessing.pool import ThreadPool
+from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType, LongType, StringType, StructField, StructType
 
 from pulsemart.functions import flag, instant_literal
+from pulsemart.session import side_by_side
 from pulsemart.sources.csv_records import csv_records, has_line_breaks, parse_records
 from pulsemart.sources.schemas import MALFORMED, RAW_SCHEMAS, SEQUENCE, SEQUENCED, TABLES, YES_NO
 from pulsemart.sources.sinks import sink_parquet
@@ -106,28 +105,19 @@ def scan_csv_tables(
     """
     paths = {table: f"{folder.rstrip('/')}/{table}.csv" for table in TABLES}
     missing = [path for path in paths.values() if not path_exists(spark, path)]
-    # Headers and first scans of the six tables side by side.
-    with ThreadPool(len(TABLES)) as pool:
-
-        def side_by_side(step: Callable, chosen: Iterable[str]) -> list:
-            return pool.map(inheritable_thread_target(spark)(step), chosen)
-
-        there = [table for table, path in paths.items() if path not in missing]
-        for table, columns in zip(there, side_by_side(lambda t: missing_columns(spark, t, paths[t]), there)):
-            missing += [f"{paths[table]}: {column}" for column in columns]
-        if missing:
-            raise FileNotFoundError(f"missing CSV files or columns: {missing}")
-        scans = side_by_side(lambda t: scan_csv_table(spark, t, paths[t], multi_line), TABLES)
-    tables = dict(zip(TABLES, scans))
+    there = [table for table, path in paths.items() if path not in missing]
+    for table, columns in zip(there, side_by_side(spark, [partial(missing_columns, spark, t, paths[t]) for t in there])):
+        missing += [f"{paths[table]}: {column}" for column in columns]
+    if missing:
+        raise FileNotFoundError(f"missing CSV files or columns: {missing}")
+    scans = [partial(scan_csv_table, spark, t, paths[t], multi_line) for t in TABLES]
+    tables = dict(zip(TABLES, side_by_side(spark, scans)))
     if target is None:
         return tables
-    out = {}
-    for table, df in tables.items():
-        place = f"{target.rstrip('/')}/{table}"
-        if not (skip_existing and table_exists(spark, place)):
-            sink_parquet(df, place)
-        out[table] = scan_parquet(spark, place)
-    return out
+    places = {table: f"{target.rstrip('/')}/{table}" for table in TABLES}
+    wanted = [t for t in TABLES if not (skip_existing and table_exists(spark, places[t]))]
+    side_by_side(spark, [partial(sink_parquet, tables[t], places[t]) for t in wanted])
+    return {table: scan_parquet(spark, place) for table, place in places.items()}
 
 
 def scan_sql_table(spark: SparkSession, table: str) -> DataFrame:
