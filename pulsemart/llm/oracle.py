@@ -1,6 +1,6 @@
 """Expected results of the package's queries as DuckDB SQL, where SQL can state them."""
 
-from pulsemart.llm.licenses import COPYRIGHT_LINES, KNOWN_LICENSES, MARKS, SPELLINGS
+from pulsemart.llm.licenses import FULL_TEXTS, JOINED, KNOWN_LICENSES, MARKS, SPELLINGS, STATEMENTS
 
 MIX_SOURCES = """
 WITH sizes AS (
@@ -70,26 +70,34 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def _canonical(text: str) -> str:
+def _marked(text: str) -> str:
     def replaced(sql: str, pattern: str, by: str) -> str:
-        return f"regexp_replace({sql}, {_quoted(pattern)}, {_quoted(by.replace('$', chr(92)))}, 'g')"
+        return f"regexp_replace({sql}, {_quoted(pattern)}, {_quoted(by)}, 'g')"
 
-    sql = f"replace({replaced(f'lower({text})', COPYRIGHT_LINES, '$1')}, '&', ' and ')"
-    sql = f"(' ' || {replaced(sql, MARKS, ' ')} || ' ')"
-    for pattern, by in SPELLINGS:
-        sql = replaced(sql, pattern, by)
-    return f"trim({replaced(sql, ' +', ' ')})"
+    sql = f"replace(lower({replaced(text, STATEMENTS, chr(92) + '1 ')}), '&', ' and ')"
+    sql = f"('  ' || replace({replaced(sql, MARKS, '  ')}, chr(10), '  ' || chr(10) || '  ') || '  ')"
+    for pattern in (JOINED, *SPELLINGS):
+        sql = replaced(sql, pattern, r"\1\2")
+    return replaced(sql, " +", " ")
 
 
 LICENSES = f"""
 WITH known(license, text) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN_LICENSES)}),
+stated AS (SELECT license, trim(replace({_marked("text")}, chr(10) || ' ', '')) AS form FROM known),
+full_texts(license, digest) AS (VALUES {", ".join(f"({_quoted(n)}, {_quoted(d)})" for n, d in FULL_TEXTS)}),
 digests AS (
-    SELECT sha256({_canonical("text")}) AS digest, min(license) AS license
-    FROM known GROUP BY 1
-),
-forms AS (SELECT doc_id, {_canonical("text")} AS form FROM documents)
-SELECT f.doc_id, CASE WHEN f.form <> '' THEN sha256(f.form) END AS digest, d.license
-FROM forms f LEFT JOIN digests d ON f.form <> '' AND sha256(f.form) = d.digest
+    SELECT digest, min(license) AS license
+    FROM (SELECT sha256(form) AS digest, license FROM stated UNION ALL SELECT digest, license FROM full_texts) GROUP BY 1
+),
+marked AS (SELECT row_number() OVER () AS r, doc_id, {_marked("text")} AS marked FROM documents),
+forms AS (SELECT *, trim(replace(marked, chr(10) || ' ', '')) AS form FROM marked),
+lines AS (SELECT r, trim(unnest(string_split(marked, chr(10)))) AS line FROM marked),
+notices AS (
+    SELECT l.r, string_agg(DISTINCT s.license, ',' ORDER BY s.license) AS notices
+    FROM lines l JOIN (SELECT form, min(license) AS license FROM stated GROUP BY 1) s ON l.line = s.form GROUP BY 1
+)
+SELECT f.doc_id, CASE WHEN f.form <> '' THEN sha256(f.form) END AS digest, d.license, n.notices
+FROM forms f LEFT JOIN digests d ON f.form <> '' AND sha256(f.form) = d.digest LEFT JOIN notices n ON n.r = f.r
 """
 
 # Stupid backoff with three words, on n-grams as text.
