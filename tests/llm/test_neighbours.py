@@ -76,3 +76,34 @@ def test_odd_rows(spark):
 def test_chi_square_limit():
     assert neighbours.chi_square_limit(0.95, 10) == pytest.approx(18.307, abs=1e-3)
     assert neighbours.chi_square_limit(0.5, 2) == pytest.approx(1.3863, abs=1e-4)
+
+
+@pytest.mark.parametrize("spread,most", [(0.05, 0.05), (0.5, 0.2), (1.0, 0.6)])
+def test_search_stops(spread, most):
+    random = np.random.default_rng(7)
+    centres = random.normal(size=(200, 64))
+    v = centres[random.integers(0, 200, 10_000)] + spread * random.normal(size=(10_000, 64))
+    queries_of = v[::200]
+    bounds, ones = np.full(len(queries_of), np.inf), np.ones(len(v), dtype=int)
+    hits = verified = 0
+    for q, rows, distance, n in neighbours.search_block(v, ones, queries_of, bounds, 11):
+        want = set(np.argsort(((v - queries_of[q]) ** 2).sum(axis=1), kind="stable")[:11])
+        hits += len(want & set(rows[np.argsort(distance, kind="stable")[:11]]))
+        verified += n
+    assert hits >= 0.9 * 11 * len(queries_of)
+    assert verified <= most * len(v) * len(queries_of)
+
+
+def test_hot_cells_only_are_copied(spark, monkeypatch):
+    """More queries than a task holds in one cell: its vectors go to several tasks, answers stay whole."""
+    monkeypatch.setattr(neighbours, "CELL", 128)
+    monkeypatch.setattr(neighbours, "QUERIES", 16)
+    random = np.random.default_rng(9)
+    v = np.concatenate([0.01 * random.normal(size=(300, 8)), 5 + random.normal(size=(300, 8))])
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answers(neighbours.nearest_neighbours(df, F.col("vec_id") < 200))
+    want = brute_force(rows, lambda i: i < 200, 10)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert got.keys() == want.keys() and hits >= 0.9 * 2000
+    assert all(len(got[q]) == 10 for q in want)
