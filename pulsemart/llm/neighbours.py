@@ -33,8 +33,8 @@ CELL = 2048
 # Bounds of the index sample: projected vectors per cell, and in all.
 SAMPLE_PER_CELL, SAMPLE = 64, 1 << 17
 LEAF = 32
-# Leaves read, and vectors verified, between two looks at the stopping test.
-LEAVES, VERIFIED = 8, 16
+# Leaves read, and vectors verified, before the first look at the stopping test; each look doubles both.
+LEAVES, VERIFIED = 8, 32
 # Queries that one task holds at once; the vectors of a cell that more queries visit are searched in several tasks.
 QUERIES = 50_000
 SEED = 11
@@ -117,6 +117,7 @@ def search_block(
         kept_rows, kept = np.zeros(0, dtype=np.int64), np.zeros(0)
         waiting, ahead = np.zeros(0, dtype=np.int64), np.zeros(0)
         bound, at, verified = bounds[q], 0, 0
+        leaves_step, step = LEAVES, VERIFIED
         while True:
             # Rows that no unread leaf comes before, nearest first; the test: a vector at the
             # k-th distance would have been projected nearer than this.
@@ -125,15 +126,15 @@ def search_block(
             if not ready:
                 if frontier > limit * bound * bound or at == len(order):
                     break
-                batch = order[at : at + LEAVES]
-                at += len(batch)
+                batch = order[at : at + leaves_step]
+                at, leaves_step = at + len(batch), 2 * leaves_step
                 rows = np.concatenate([leaves.order[leaves.start[i] : leaves.end[i]] for i in batch])
                 gap = points[rows] - projected[q]
                 waiting, ahead = np.concatenate([waiting, rows]), np.concatenate([ahead, (gap * gap).sum(axis=1)])
                 sort = np.argsort(ahead, kind="stable")
                 waiting, ahead = waiting[sort], ahead[sort]
                 continue
-            ready = min(ready, VERIFIED)
+            ready, step = min(ready, step), 2 * step
             rows, waiting, ahead = waiting[:ready], waiting[ready:], ahead[ready:]
             verified += ready
             difference = vectors[rows] - queries[q]
