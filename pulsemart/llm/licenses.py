@@ -1,6 +1,6 @@
 """License scans by canonical digest: normalise entire texts, hash, join with known digests.
 
-Only built-in functions: the canonical form is a chain of four regular expressions, the
+Only built-in functions: the canonical form is a chain of five regular expressions, the
 digest SHA-256, the lookup an equi-join. Known texts pass through the same chain, so a
 rule needs to be consistent, not good English. The form is built once a document, with
 its lines kept apart; the entire text and each line are looked up from it.
