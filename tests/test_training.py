@@ -1,14 +1,18 @@
 """Boosting runs a job per level of every tree: few tasks each, in the same order whatever the files."""
 
+import threading
 from dataclasses import replace
 from math import ceil
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from pulsemart import HealthConfig
+import __spark_entry__ as entry
+from pulsemart import HealthConfig, jobs
 from pulsemart.ml import training
 from pulsemart.ml.features import BASE_FEATURES
+from pulsemart.sources import sink_parquet
 from tests.compare import spark_rows
 
 CFG = HealthConfig()
@@ -64,3 +68,23 @@ def test_tasks_grow_with_the_rows(mart, monkeypatch):
     sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == 600 and len(sizes) == data.tasks and max(sizes) <= 2 * min(sizes)
     assert training.train_churn_model(data, FEW_TREES).getNumTrees == 4
+
+
+def _meeting():
+    """A step that ends only if another runs at the same time."""
+    barrier = threading.Barrier(2, timeout=20)
+    return lambda *a, **k: barrier.wait()
+
+
+def test_model_and_validation_are_fitted_side_by_side(spark, mart, monkeypatch, tmp_path):
+    fitted = object.__new__(entry.Fitted)
+    fitted.mart, fitted.data = mart, SimpleNamespace(rows=mart)
+    meet = _meeting()
+    monkeypatch.setattr(training, "train_churn_model", meet)
+    monkeypatch.setattr(training, "cross_validate_churn", meet)
+    monkeypatch.setattr(training, "model_metrics", lambda *a: a)
+    assert {entry._metrics(fitted)[0], entry._metrics(fitted)[2]} == {0, 1}
+    sink_parquet(mart, jobs.mart_path(str(tmp_path), "mart_tenant_health"))
+    monkeypatch.setattr(training, "churn_predictions", lambda *a: (_ for _ in ()).throw(KeyError("fitted")))
+    with pytest.raises(KeyError, match="fitted"):
+        jobs.model_job(spark, str(tmp_path), CFG, FEW_TREES)
