@@ -88,3 +88,13 @@ def test_model_and_validation_are_fitted_side_by_side(spark, mart, monkeypatch,
     monkeypatch.setattr(training, "churn_predictions", lambda *a: (_ for _ in ()).throw(KeyError("fitted")))
     with pytest.raises(KeyError, match="fitted"):
         jobs.model_job(spark, str(tmp_path), CFG, FEW_TREES)
+
+
+def test_leaky_and_clean_validation_run_side_by_side(spark, mart, monkeypatch):
+    fitted = object.__new__(entry.Fitted)
+    fitted.mart, fitted.data = mart, SimpleNamespace(rows=mart)
+    meet = _meeting()
+    monkeypatch.setattr(training, "leakage_check", meet)
+    monkeypatch.setattr(training, "cross_validate_churn", meet)
+    monkeypatch.setattr(entry.checks, "checked_leak", lambda *a: a)
+    assert set(entry.queries()["leakage_check"].__closure__[0].cell_contents(fitted, spark)) == {0, 1}
